@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from chatterscope.functions.lookup import bind
 from chatterscope.functions.text import _col, strip_ws
 from chatterscope.functions.times import number_or_null
 
@@ -29,19 +30,39 @@ def parse_response_fallback(c):
 
 
 def _field(parsed, name):
-    """(state, number) of a JSON field: state is missing, null, number or bad."""
-    value = F.variant_get(parsed, f"$.{name}", "variant")
-    kind = F.schema_of_variant(value)
+    """A JSON field as a struct: is it there, is it a JSON null, and its number if it is one."""
+    path = f"$.{name}"
+    value = F.variant_get(parsed, path, "variant")
     number = F.when(
-        kind == "BOOLEAN", F.try_variant_get(parsed, f"$.{name}", "boolean").cast("double")
-    ).otherwise(number_or_null(F.try_variant_get(parsed, f"$.{name}", "string")))
-    state = (
-        F.when(value.isNull(), "missing")
-        .when(F.is_variant_null(value), "null")
-        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY") | number.isNull(), "bad")
-        .otherwise("number")
+        F.schema_of_variant(value) == "BOOLEAN",
+        F.try_variant_get(parsed, path, "boolean").cast("double"),
+    ).otherwise(number_or_null(F.try_variant_get(parsed, path, "string")))
+    return F.struct(
+        value.isNotNull().alias("given"),
+        F.coalesce(F.is_variant_null(value), F.lit(False)).alias("empty"),
+        number.alias("number"),
     )
-    return state, number
+
+
+def _from_json(parsed):
+    """What a JSON object says, as a struct; `clean` is false if a field cannot be read."""
+    is_object = F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT"))
+
+    def of_fields(compound, relevancy):
+        score = F.when(~compound["given"], F.lit(0.0)).otherwise(compound["number"])
+        readable = ~relevancy["given"] | relevancy["empty"] | relevancy["number"].isNotNull()
+        return F.struct(
+            (score.isNotNull() & readable).alias("clean"),
+            score.alias("compound"),
+            relevancy["number"].alias("relevancy"),
+            F.try_variant_get(parsed, "$.explanation", "string").alias("explanation"),
+        )
+
+    fields = bind(
+        _field(parsed, "compound"),
+        lambda c: bind(_field(parsed, "relevancy"), lambda r: of_fields(c, r)),
+    )
+    return F.when(is_object, fields)
 
 
 def parse_response(c):
@@ -50,31 +71,25 @@ def parse_response(c):
     A valid object gives its fields; compound defaults to 0. One unreadable field sends the whole
     answer to the pattern search, except that a compound read before the failure is kept.
     """
-    answer = strip_ws(c)
-    parsed = F.try_parse_json(answer)
-    is_object = F.coalesce(F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT")), F.lit(False))
-    compound_state, compound_number = _field(parsed, "compound")
-    relevancy_state, relevancy_number = _field(parsed, "relevancy")
-    read_compound = F.when(
-        is_object,
-        F.when(compound_state == "missing", F.lit(0.0)).when(
-            compound_state == "number", compound_number
-        ),
-    )
-    clean = read_compound.isNotNull() & (relevancy_state != "bad")
-    loose = parse_response_fallback(answer)
-    compound = F.when(clean, read_compound).otherwise(
-        F.coalesce(loose["compound"], read_compound, F.lit(0.0))
-    )
-    relevancy = F.when(clean, F.when(relevancy_state == "number", relevancy_number)).otherwise(
-        loose["relevancy"]
-    )
-    explanation = F.when(clean, F.try_variant_get(parsed, "$.explanation", "string"))
-    return F.when(
-        answer.isNotNull(),
-        F.struct(
+
+    def chosen(answer, said):
+        loose = parse_response_fallback(answer)
+        clean = F.coalesce(said["clean"], F.lit(False))
+        compound = F.when(clean, said["compound"]).otherwise(
+            F.coalesce(loose["compound"], said["compound"], F.lit(0.0))
+        )
+        relevancy = F.when(clean, said["relevancy"]).otherwise(loose["relevancy"])
+        return F.struct(
             clamp(compound, -1.0, 1.0).alias("compound"),
             clamp(relevancy, 0.0, 1.0).alias("relevancy"),
-            explanation.alias("explanation"),
+            F.when(clean, said["explanation"]).alias("explanation"),
+        )
+
+    answer = strip_ws(c)
+    result = bind(
+        answer,
+        lambda a: bind(
+            bind(F.try_parse_json(a), _from_json), lambda said: chosen(a, said)
         ),
     )
+    return F.when(answer.isNotNull(), result)

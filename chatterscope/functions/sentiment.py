@@ -146,9 +146,17 @@ def after_previous_word(valence, known, capital, degree, negator, weight, rules)
 
 
 def normalized(total, emphasis, rules):
-    """Sum of valences to a score in [-1, 1] with four decimals."""
-    louder = total + F.when(total > 0, emphasis).when(total < 0, -emphasis).otherwise(F.lit(0.0))
-    squashed = bind(louder, lambda s: s / F.sqrt(s * s + rules.normalizer))
+    """Sum of valences to a score in [-1, 1] with four decimals.
+
+    The sum is cut to nine decimals first, so that valences which cancel out are not given a sign by
+    the order in which they were added.
+    """
+
+    def score(t):
+        louder = t + F.when(t > 0, emphasis).when(t < 0, -emphasis).otherwise(F.lit(0.0))
+        return bind(louder, lambda s: s / F.sqrt(s * s + rules.normalizer))
+
+    squashed = bind(F.round(total, 9), score)
     return F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), squashed)), 4)
 
 
@@ -209,4 +217,4 @@ def compound(text, lexicon, rules=None):
     summed = bind(
         bare_words(text), lambda w: bind(capital_words(text), lambda c: of_words(w, c))
     )
-    return bind(summed, lambda s: normalized(s, punctuation_emphasis(text, rules), rules))
+    return normalized(summed, punctuation_emphasis(text, rules), rules)

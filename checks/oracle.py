@@ -121,13 +121,13 @@ marks AS (
   SELECT {key} AS id, length({text}) - length(replace({text}, '!', '')) AS ep,
     length({text}) - length(replace({text}, '?', '')) AS qm FROM {source}),
 loud AS (
-  SELECT m.id, coalesce(s, 0e0) AS s, least(ep, 4) * 0.292e0
+  SELECT m.id, round(coalesce(s, 0e0), 9) AS s, least(ep, 4) * 0.292e0
     + CASE WHEN qm <= 1 THEN 0e0 WHEN qm <= 3 THEN qm * 0.18e0 ELSE 0.96e0 END AS emphasis
   FROM marks m LEFT JOIN sums u ON m.id = u.id),
 totals AS (
   SELECT id, CASE WHEN s > 0 THEN s + emphasis WHEN s < 0 THEN s - emphasis ELSE s END AS t
   FROM loud),
-scores AS (SELECT id, round(t / sqrt(t * t + 15e0), 4) AS compound FROM totals)"""
+scores AS (SELECT id, round(t / sqrt(t * t + 15e0), 4) + 0e0 AS compound FROM totals)"""
     )
 
 
