@@ -29,40 +29,23 @@ def parse_response_fallback(c):
     )
 
 
-def _field(parsed, name):
-    """A JSON field as a struct: is it there, is it a JSON null, and its number if it is one."""
-    path = f"$.{name}"
-    value = F.variant_get(parsed, path, "variant")
-    number = F.when(
-        F.schema_of_variant(value) == "BOOLEAN",
-        F.try_variant_get(parsed, path, "boolean").cast("double"),
-    ).otherwise(number_or_null(F.try_variant_get(parsed, path, "string")))
-    return F.struct(
-        value.isNotNull().alias("given"),
-        F.coalesce(F.is_variant_null(value), F.lit(False)).alias("empty"),
-        number.alias("number"),
+def _json_number(answer, name):
+    """A field of a JSON object as double: numbers, spelled numbers and booleans; else null."""
+    shown = F.get_json_object(answer, f"$.{name}")
+    truth = F.rlike(answer, F.lit(rf'"{name}"\s*:\s*(true|false)'))
+    return F.when((shown == "true") & truth, F.lit(1.0)).otherwise(
+        F.when((shown == "false") & truth, F.lit(0.0)).otherwise(number_or_null(shown))
     )
 
 
-def _from_json(parsed):
-    """What a JSON object says, as a struct; `clean` is false if a field cannot be read."""
-    is_object = F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT"))
-
-    def of_fields(compound, relevancy):
-        score = F.when(~compound["given"], F.lit(0.0)).otherwise(compound["number"])
-        readable = ~relevancy["given"] | relevancy["empty"] | relevancy["number"].isNotNull()
-        return F.struct(
-            (score.isNotNull() & readable).alias("clean"),
-            score.alias("compound"),
-            relevancy["number"].alias("relevancy"),
-            F.try_variant_get(parsed, "$.explanation", "string").alias("explanation"),
-        )
-
-    fields = bind(
-        _field(parsed, "compound"),
-        lambda c: bind(_field(parsed, "relevancy"), lambda r: of_fields(c, r)),
+def _is_single_object(answer):
+    # In brackets, text after the object makes the whole invalid, or one element too many.
+    single = F.json_array_length(F.concat(F.lit("["), answer, F.lit("]"))) == 1
+    # Spark also reads single-quoted strings, which are not JSON.
+    outside = F.regexp_replace(answer, r'"(?:[^"\\]|\\.)*"', "")
+    return F.coalesce(
+        F.startswith(answer, F.lit("{")) & single & ~F.contains(outside, F.lit("'")), F.lit(False)
     )
-    return F.when(is_object, fields)
 
 
 def parse_response(c):
@@ -72,24 +55,44 @@ def parse_response(c):
     answer to the pattern search, except that a compound read before the failure is kept.
     """
 
-    def chosen(answer, said):
+    def read(answer):
+        given = F.array_contains(F.json_object_keys(answer), "compound")
+        return F.when(
+            _is_single_object(answer),
+            F.struct(
+                F.when(given, _json_number(answer, "compound"))
+                .otherwise(F.lit(0.0))
+                .alias("compound"),
+                _json_number(answer, "relevancy").alias("relevancy"),
+                F.get_json_object(answer, "$.relevancy").isNull().alias("unrated"),
+            ),
+        )
+
+    def choose(answer, said):
+        clean = said["compound"].isNotNull() & (said["unrated"] | said["relevancy"].isNotNull())
         loose = parse_response_fallback(answer)
-        clean = F.coalesce(said["clean"], F.lit(False))
-        compound = F.when(clean, said["compound"]).otherwise(
-            F.coalesce(loose["compound"], said["compound"], F.lit(0.0))
+        kept = F.struct(
+            said["compound"].alias("compound"),
+            said["relevancy"].alias("relevancy"),
+            F.get_json_object(answer, "$.explanation").alias("explanation"),
         )
-        relevancy = F.when(clean, said["relevancy"]).otherwise(loose["relevancy"])
+        searched = F.struct(
+            F.coalesce(loose["compound"], said["compound"], F.lit(0.0)).alias("compound"),
+            loose["relevancy"].alias("relevancy"),
+            F.lit(None).cast("string").alias("explanation"),
+        )
+        return F.when(clean, kept).otherwise(searched)
+
+    def limited(r):
         return F.struct(
-            clamp(compound, -1.0, 1.0).alias("compound"),
-            clamp(relevancy, 0.0, 1.0).alias("relevancy"),
-            F.when(clean, said["explanation"]).alias("explanation"),
+            clamp(r["compound"], -1.0, 1.0).alias("compound"),
+            clamp(r["relevancy"], 0.0, 1.0).alias("relevancy"),
+            r["explanation"].alias("explanation"),
         )
 
-    answer = strip_ws(c)
-    result = bind(
-        answer,
-        lambda a: bind(
-            bind(F.try_parse_json(a), _from_json), lambda said: chosen(a, said)
-        ),
+    # Each step is a variable, so that an answer is parsed once and not for every use of its parts.
+    parsed = bind(
+        strip_ws(c),
+        lambda a: F.when(a.isNotNull(), bind(read(a), lambda said: choose(a, said))),
     )
-    return F.when(answer.isNotNull(), result)
+    return bind(parsed, lambda r: F.when(r.isNotNull(), limited(r)))

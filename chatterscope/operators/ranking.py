@@ -51,6 +51,7 @@ def monthly_top(scored, k=20):
 
     Ties make the result as large as the data allows, so the groups are not ranked row by row: the
     scores that qualify are found on their distinct values, and posts are kept by a join on them.
+    `scored` is read twice, so it should be a stored table.
     """
     group = ["brand", "year", "month"]
     scores = scored.select(*group, "score").distinct()

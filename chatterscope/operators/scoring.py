@@ -122,6 +122,7 @@ def score_by_join(df, lexicon, rules=None, key="id", text="text"):
     """
     rules = rules or Rules()
     degree_of = literal_lookup(rules.degrees)
+    lexicon = lexicon.dropDuplicates(["token"])
     method = join_method(lexicon)
     valences = lexicon.select(F.col("token").alias("word0"), "valence").hint(method)
     hits = word_rows(df, key, text, rules).join(valences, F.col("w0.word") == F.col("word0"))

@@ -3,6 +3,7 @@
 import time
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from chatterscope.functions.text import contains_any
 from chatterscope.functions.times import event_ts
@@ -58,4 +59,5 @@ def start_live(
 
 def read_points(spark, points_path):
     """Points of all ticks so far."""
-    return spark.read.schema(LIVE_POINT_SCHEMA.add("tick", "long")).parquet(points_path).drop("tick")
+    stored = StructType([*LIVE_POINT_SCHEMA.fields, StructField("tick", LongType())])
+    return spark.read.schema(stored).parquet(points_path).drop("tick")

@@ -300,6 +300,7 @@ def refresh(spark, sf):
     fresh = sources.read_daily(spark, written(spark, sf)).where(F.col("brand") == "src1")
     sinks.write_daily(fresh.drop("year", "month"), base)
     sinks.refresh(spark, base)
+    cached.unpersist()
     return sources.read_daily(spark, base).select("brand", "mentions")
 
 

@@ -18,6 +18,7 @@ from chatterscope.streaming.ingest import start_ingest
 from chatterscope.streaming.live import read_points, start_live
 from chatterscope.streaming.windows import (
     latest_updates,
+    score_stream,
     start_window_query,
     table_sink,
     windowed_sentiment,
@@ -43,7 +44,7 @@ def posts_folder(spark, sf, name):
     return path
 
 
-def windows(spark, sf, late=False):
+def updates(spark, sf, late=False):
     """Windows over three portions of events that arrive one after another, in three runs of the
     same query. With `late`, events of the first days follow once more, too late to count.
     """
@@ -66,8 +67,12 @@ def windows(spark, sf, late=False):
                 windowed_sentiment(stream), table_sink(out), checkpoint, once=True
             )
         )
-    updates = spark.read.option("basePath", out).parquet(f"{out}/batch=*")
-    return latest_updates(updates).withColumn("avg_compound", F.round("avg_compound", 8))
+    return spark.read.option("basePath", out).parquet(f"{out}/batch=*")
+
+
+def windows(spark, sf, late=False):
+    last = latest_updates(updates(spark, sf, late))
+    return last.withColumn("avg_compound", F.round("avg_compound", 8))
 
 
 _WINDOWS = f"""WITH e AS (SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, event_type AS brand,
@@ -82,6 +87,18 @@ def windowed(spark, sf):
     return windows(spark, sf)
 
 
+@query(
+    "k4_t3_window_updates",
+    f"""SELECT brand, CAST(sum(mentions) AS BIGINT) AS mentions, count(*) AS updates
+    FROM ({_WINDOWS}) GROUP BY brand""",
+)
+def window_updates(spark, sf):
+    """No window spans two portions, so update mode reports each of them once."""
+    return updates(spark, sf).groupBy("brand").agg(
+        F.sum("mentions").alias("mentions"), F.count(F.lit(1)).alias("updates")
+    )
+
+
 @query("t4_late_rows", _WINDOWS)
 def late_rows(spark, sf):
     return windows(spark, sf, late=True)
@@ -93,6 +110,45 @@ def windowed_batch(spark, sf):
     return windowed_sentiment(scored).withColumn("avg_compound", F.round("avg_compound", 8))
 
 
+_POST_WINDOWS = f"""SELECT time_bucket(INTERVAL '1 minute', make_timestamp(created_utc * 1000000))
+  AS window_start, brand, {O.LABEL} AS sentiment, count(*) AS mentions,
+  round(avg(compound), 8) AS avg_compound"""
+_TEXTS = "texts AS (SELECT id, min(text) AS text FROM posts GROUP BY id)," + O.scores("texts")
+
+
+def stream_job(spark, sf, cfg=None):
+    stream = read_posts_stream(spark, posts_folder(spark, sf, "posts"))
+    scored = score_stream(stream, V.LEXICON, V.RULES, cfg=cfg)
+    out = scratch_path(spark, "updates")
+    checkpoint = scratch_path(spark, "checkpoint")
+    run(start_window_query(windowed_sentiment(scored), table_sink(out), checkpoint, once=True))
+    last = latest_updates(spark.read.option("basePath", out).parquet(f"{out}/batch=*"))
+    return last.withColumn("avg_compound", F.round("avg_compound", 8)).drop("window_end")
+
+
+@query(
+    "e2_stream_job",
+    O.select(O.POSTS + "," + _TEXTS, _POST_WINDOWS + """ FROM posts p JOIN scores s ON p.id = s.id
+    GROUP BY ALL"""),
+)
+def stream_of_posts(spark, sf):
+    return stream_job(spark, sf)
+
+
+@query(
+    "e2_stream_job_tagged",
+    O.select(O.POSTS + "," + _TEXTS, _POST_WINDOWS.replace("brand,", "b.brand,", 1) + """ FROM posts p
+    JOIN scores s ON p.id = s.id, (VALUES ('src1'), ('src2'), ('gamma')) b(brand)
+    WHERE (b.brand = 'src1' AND (contains(lower(text), 'oning') OR contains(lower(text), 'thble')
+        OR subreddit IN ('src1', 'src12')))
+      OR (b.brand = 'src2' AND (contains(lower(text), 'mentre') OR contains(lower(text), 'license')
+        OR subreddit = 'src2'))
+      OR (b.brand = 'gamma' AND contains(lower(text), 'ingre')) GROUP BY ALL"""),
+)
+def tagged_stream_of_posts(spark, sf):
+    return stream_job(spark, sf, V.CONFIG)
+
+
 @query("s2_read_posts_stream", O.select(O.POSTS, f"SELECT {POST_COLUMNS} FROM posts"))
 def posts_stream(spark, sf):
     stream = read_posts_stream(spark, posts_folder(spark, sf, "streamed"))
