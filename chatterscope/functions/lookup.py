@@ -31,16 +31,19 @@ def literal_lookup(mapping, value_type="double"):
         raise ValueError(f"{len(mapping)} entries are too many for a literal; join a table instead")
     if not mapping:
         return lambda key: F.lit(None).cast(value_type)
-    slots = 1 if len(mapping) <= 4 else 1 << len(mapping).bit_length()
-    table = [{} for _ in range(slots)]
+    # A power of two; most slots stay empty, which ends the lookup of most words early.
+    slots = 1 if len(mapping) <= 2 else 2 << len(mapping).bit_length()
+    table = [None] * slots
     for key, value in mapping.items():
-        table[zlib.crc32(key.encode("utf-8")) % slots][key] = value
+        place = zlib.crc32(key.encode("utf-8")) % slots
+        table[place] = {**(table[place] or {}), key: value}
     literal = F.from_json(F.lit(json.dumps(table)), f"array<map<string,{value_type}>>")
 
     def lookup(key):
         if slots == 1:
             return F.get(literal, F.lit(0))[key]
-        return F.get(literal, (F.crc32(key.cast("binary")) % slots).cast("int"))[key]
+        place = F.crc32(key.cast("binary")).bitwiseAND(F.lit(slots - 1))
+        return F.get(literal, place.cast("int"))[key]
 
     return lookup
 

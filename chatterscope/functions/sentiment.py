@@ -75,10 +75,10 @@ def event_hit(tags):
 
 # Words with a core of three characters or more lose the punctuation around it; shorter ones keep it,
 # which preserves emoticons.
-_EDGES = "[" + "".join("\\" + c for c in PUNCTUATION) + "]"
-_INSIDE = _EDGES.replace("[", r"[^\s\x0b\x1c-\x1f\x85\p{Z}", 1)
+_EDGE = "[" + "".join("\\" + c for c in PUNCTUATION) + "]"
 _BLACK = WHITESPACE.replace("[", "[^", 1)
-_WORD = f"(?<!{_BLACK}){_EDGES}*({_INSIDE}{_BLACK}+{_INSIDE}){_EDGES}*(?!{_BLACK})"
+_INSIDE = _EDGE.replace("[", _BLACK[:-1], 1)
+_WORD = f"(?<!{_BLACK}){_EDGE}*({_INSIDE}{_BLACK}+{_INSIDE}){_EDGE}*(?!{_BLACK})"
 
 
 def raw_words(text):
@@ -116,7 +116,7 @@ def is_negator(word, rules):
 
 def punctuation_emphasis(text, rules):
     def count(mark):
-        return F.length(text) - F.length(F.translate(text, mark, ""))
+        return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
 
     questions = count("?")
     return F.least(count("!"), F.lit(rules.max_exclamations)) * rules.exclamation + (
@@ -173,16 +173,13 @@ def compound(text, lexicon, rules=None):
     def word_score(valence, i, words, valences, capitals):
         def look_back(result, place, weight):
             def step(v, w):
+                known, negator = F.get(valences, place).isNotNull(), is_negator(w, rules)
                 moved = after_previous_word(
-                    v,
-                    F.get(valences, place).isNotNull(),
-                    capital_at(capitals, place),
-                    degree_of(w),
-                    is_negator(w, rules),
-                    weight,
-                    rules,
+                    v, known, capital_at(capitals, place), degree_of(w), negator, weight, rules
                 )
-                return F.when(w.isNull(), v).otherwise(moved)
+                # Most words change nothing; finding that out first is the cheapest way.
+                plain = w.isNull() | (degree_of(w).isNull() & ~negator)
+                return F.when(plain, v).otherwise(moved)
 
             return bind(result, lambda v: bind(F.get(words, place), lambda w: step(v, w)))
 
@@ -197,17 +194,17 @@ def compound(text, lexicon, rules=None):
         def scores(valences):
             return F.transform(
                 valences,
-                lambda v, i: F.when(
-                    v.isNotNull(),
-                    word_score(v, i, words, valences, capitals) * contrast_weight(i + 1, cut, rules),
+                lambda v, i: F.when(v.isNull(), F.lit(0.0)).otherwise(
+                    word_score(v, i, words, valences, capitals) * contrast_weight(i + 1, cut, rules)
                 ),
             )
 
-        return F.aggregate(
-            bind(F.transform(words, valence_of), scores),
-            F.lit(0.0),
-            lambda acc, x: acc + F.coalesce(x, F.lit(0.0)),
-        )
+        def summed(valences):
+            found = F.array_remove(scores(valences), 0.0)
+            total = F.aggregate(found, F.lit(0.0), lambda acc, x: acc + x)
+            return F.when(F.array_max(valences).isNull(), F.lit(0.0)).otherwise(total)
+
+        return bind(F.transform(words, valence_of), summed)
 
     def of_words(words, capitals):
         cut = F.array_position(words, rules.contrast).cast("int")

@@ -70,21 +70,23 @@ def hints_of(cfg):
     return hints
 
 
+def _found(tests):
+    """Names whose test holds, in order. Free of lambdas, which would keep the text tests from being
+    compiled and from sharing the lowercase text.
+    """
+    names = [F.when(test, F.lit(name)).otherwise(F.lit("")) for name, test in tests]
+    return F.array_remove(F.array(*names), "") if names else F.array().cast("array<string>")
+
+
 def brands_in_text(lowered, cfg):
     """Canonical names whose keywords occur in the lowercase text, in configuration order."""
-    found = [
-        F.when(lower_contains_any(lowered, [k.lower() for k in b.keywords if k]), b.canonical)
-        for b in cfg.brands
-    ]
-    return F.array_distinct(F.array_compact(F.array(*found)))
+    words = [(b.canonical, [k.lower() for k in b.keywords if k]) for b in cfg.brands]
+    return F.array_distinct(_found([(b, lower_contains_any(lowered, ks)) for b, ks in words]))
 
 
 def events_in_text(lowered, cfg):
     """Event words of any brand and global ones; not tied to the brands that matched."""
-    if not cfg.event_words:
-        return F.array().cast("array<string>")
-    found = [F.when(F.contains(lowered, F.lit(e)), e) for e in cfg.event_words]
-    return F.array_compact(F.array(*found))
+    return _found([(e, F.contains(lowered, F.lit(e))) for e in cfg.event_words])
 
 
 def match_brands(df, cfg, mode="native", key="id"):

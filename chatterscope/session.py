@@ -16,6 +16,10 @@ def get_spark(app_name="chatterscope", master=None, **conf):
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Streaming state may outgrow the heap of an executor.
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
         **conf,
     }
     for key, value in settings.items():

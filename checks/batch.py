@@ -241,12 +241,14 @@ def _shown(tops):
 
 @query("w2_monthly_top", O.select(O.TOPS, "SELECT brand, year, month, id, score FROM tops"))
 def monthly_top(spark, sf):
-    return ranking.monthly_top(scored(spark, sf)).select("brand", "year", "month", "id", "score")
+    stored = sources.read_posts_table(spark, written(spark, sf))
+    return ranking.monthly_top(stored).select("brand", "year", "month", "id", "score")
 
 
 @query("p7_tops_columns", O.select(O.TOPS, f"SELECT {_TOPS} FROM tops"))
 def tops_columns(spark, sf):
-    return _shown(serving.select_tops(ranking.monthly_top(scored(spark, sf))))
+    stored = sources.read_posts_table(spark, written(spark, sf))
+    return _shown(serving.select_tops(ranking.monthly_top(stored)))
 
 
 @query("w4_top_post_per_day", O.select(O.BEST, "SELECT * FROM best"))
@@ -286,7 +288,8 @@ def daily_sink(spark, sf):
 @query("k3_tops_sink", O.select(O.TOPS, f"SELECT {_TOPS} FROM tops"))
 def tops_sink(spark, sf):
     base = scratch_path(spark, "tops")
-    sinks.write_tops(serving.select_tops(ranking.monthly_top(scored(spark, sf))), base)
+    stored = sources.read_posts_table(spark, written(spark, sf))
+    sinks.write_tops(serving.select_tops(ranking.monthly_top(stored)), base)
     return _shown(sources.read_tops(spark, base))
 
 

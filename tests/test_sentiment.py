@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from plain import plain_compound
+from checks.plain import plain_compound
 
 from chatterscope.functions.sentiment import Rules, compound
 from chatterscope.operators import scoring
