@@ -158,7 +158,11 @@ def score_by_join(df, lexicon, rules=None, key="id", text="text"):
         F.coalesce(F.col("valence_sum"), F.lit(0.0)), punctuation_emphasis(body, rules), rules
     )
     return (
-        df.join(sums.withColumnRenamed("key", "sum_key"), F.col(key) == F.col("sum_key"), "left")
+        df.join(
+            sums.withColumnRenamed("key", "sum_key"),
+            F.col(key).eqNullSafe(F.col("sum_key")),
+            "left",
+        )
         .withColumn("compound", score)
         .drop("sum_key", "valence_sum")
     )

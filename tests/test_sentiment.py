@@ -68,7 +68,7 @@ def _texts(spark, n=400):
     rng = random.Random(5)
     words = ["good", "GOOD", "bad", "very", "not", "but", "x", "THE", ":)", "(great)!", "kinda", "sad?"]
     rows = [(str(i), " ".join(rng.choices(words, k=rng.randrange(30)))) for i in range(n)]
-    return spark.createDataFrame([*rows, ("n", None), ("e", "")], "id string, text string")
+    return spark.createDataFrame([*rows, ("n", None), ("e", ""), (None, "very good")], "id string, text string")
 
 
 def test_both_forms_agree_however_rows_are_spread(spark):
