@@ -3,6 +3,11 @@
 from pyspark.sql import functions as F
 
 
+def exact_mean(c):
+    """Mean of scores that does not depend on the order in which tasks add them up."""
+    return F.avg(F.col(c).try_cast("decimal(20,12)")).cast("double")
+
+
 def daily_aggregate(scored):
     """Mentions, sentiment and events per brand and day.
 
@@ -10,7 +15,7 @@ def daily_aggregate(scored):
     """
     return scored.groupBy("brand", "event_date").agg(
         F.count(F.lit(1)).alias("mentions"),
-        F.avg("compound").alias("avg_compound"),
+        exact_mean("compound").alias("avg_compound"),
         F.count_if(F.col("sentiment") == "positive").alias("positive"),
         F.count_if(F.col("sentiment") == "negative").alias("negative"),
         F.count_if(F.col("sentiment") == "neutral").alias("neutral"),

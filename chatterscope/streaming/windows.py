@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from chatterscope.functions.times import event_ts
+from chatterscope.operators.aggregates import exact_mean
 from chatterscope.operators.ranking import limit_per_group
 from chatterscope.operators.scoring import score_posts
 from chatterscope.operators.tagging import explode_brands, tag_posts
@@ -23,7 +24,7 @@ def windowed_sentiment(scored, window="1 minute", delay="2 minutes"):
     return (
         scored.withWatermark("event_ts", delay)
         .groupBy(F.window("event_ts", window).alias("w"), "brand", "sentiment")
-        .agg(F.count(F.lit(1)).alias("mentions"), F.avg("compound").alias("avg_compound"))
+        .agg(F.count(F.lit(1)).alias("mentions"), exact_mean("compound").alias("avg_compound"))
         .select(
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),

@@ -171,7 +171,7 @@ def daily_mentions(spark, sf):
     return daily(spark, sf).select("brand", "event_date", "mentions")
 
 
-@query("a2_daily_compound", _daily_sql("round(avg_compound, 8) AS avg_compound"))
+@query("a2_daily_compound", _daily_sql("mean_compound AS avg_compound"))
 def daily_compound(spark, sf):
     return daily(spark, sf).select("brand", "event_date", F.round("avg_compound", 8).alias("avg_compound"))
 
@@ -197,7 +197,7 @@ def daily_max_score(spark, sf):
 
 
 DAILY_COLUMNS = (
-    "brand, event_date, mentions, round(avg_compound, 8) AS avg_compound, positive, negative, "
+    "brand, event_date, mentions, mean_compound AS avg_compound, positive, negative, "
     "neutral, event_hits, event_posts, max_score, year, month"
 )
 

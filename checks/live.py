@@ -77,7 +77,7 @@ rated AS (SELECT l.*, s.compound, {_POINT_LINK} AS top_permalink, {O.EXCERPT.for
   {_DAY} AS ts FROM last l JOIN scores s ON l.id = s.id),
 placed AS (SELECT *, row_number() OVER (PARTITION BY ts ORDER BY score DESC NULLS LAST, live_key) AS place
   FROM rated),
-sums AS (SELECT ts, count(*) AS mentions, round(avg(compound), 8) AS avg_compound FROM rated GROUP BY ts),
+sums AS (SELECT ts, count(*) AS mentions, {O.MEAN} AS avg_compound FROM rated GROUP BY ts),
 points AS (SELECT s.ts, s.mentions, s.avg_compound, p.top_permalink, p.top_text
   FROM sums s JOIN placed p ON s.ts = p.ts AND p.place = 1)""".replace("sums AS", "tick_sums AS").replace("FROM sums s", "FROM tick_sums s")
 
@@ -179,7 +179,7 @@ fresh AS (SELECT * FROM numbered WHERE nth = 1 AND id NOT IN (SELECT id FROM see
     best AS (SELECT {_POINT_LINK} AS top_permalink, {O.EXCERPT.format('text', 400)} AS top_text FROM rated
       ORDER BY score DESC NULLS LAST, live_key LIMIT 1)""",
     f"""SELECT TIMESTAMP '{_TICK}' AS ts, (SELECT count(*) FROM rated) AS mentions,
-    (SELECT round(avg(compound), 8) FROM rated) AS avg_compound, top_permalink, top_text,
+    (SELECT {O.MEAN} FROM rated) AS avg_compound, top_permalink, top_text,
     'v' AS provider FROM best"""),
 )
 def tick_point(spark, sf):

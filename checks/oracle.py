@@ -131,6 +131,11 @@ scores AS (SELECT id, round(t / sqrt(t * t + 15e0), 4) + 0e0 AS compound FROM to
     )
 
 
+# Scores have four decimals, so their mean can be rounded to eight in whole numbers, without noise.
+_UNITS = "sum(CAST(round(compound * 10000) AS BIGINT))"
+MEAN = f"""(CASE WHEN {_UNITS} < 0 THEN -1 ELSE 1 END)
+  * ((abs({_UNITS}) * 20000 + count(*)) // (2 * count(*))) / 1e8"""
+
 LABEL = "CASE WHEN compound > 0.05 THEN 'positive' WHEN compound < -0.05 THEN 'negative' ELSE 'neutral' END"
 
 SCORED = (
@@ -143,9 +148,10 @@ scored AS (
   FROM tagged t JOIN scores s ON t.id = s.id)"""
 )
 
-DAILY = SCORED + """,
+DAILY = SCORED + f""",
 daily AS (
-  SELECT brand, event_date, count(*) AS mentions, avg(compound) AS avg_compound,
+  SELECT brand, event_date, count(*) AS mentions, {_UNITS} / count(*) / 1e4 AS avg_compound,
+    {MEAN} AS mean_compound,
     count(*) FILTER (WHERE sentiment = 'positive') AS positive,
     count(*) FILTER (WHERE sentiment = 'negative') AS negative,
     count(*) FILTER (WHERE sentiment = 'neutral') AS neutral,

@@ -79,7 +79,7 @@ _WINDOWS = f"""WITH e AS (SELECT time_bucket(INTERVAL '1 minute', ts) AS window_
   round(least(1e0, value / 250e0 - 1e0), 4) AS compound FROM events),
 s AS (SELECT *, {O.LABEL} AS sentiment FROM e)
 SELECT window_start, window_start + INTERVAL '1 minute' AS window_end, brand, sentiment,
-  count(*) AS mentions, round(avg(compound), 8) AS avg_compound FROM s GROUP BY ALL"""
+  count(*) AS mentions, {O.MEAN} AS avg_compound FROM s GROUP BY ALL"""
 
 
 @query("t1_t2_windowed_sentiment", _WINDOWS)
@@ -112,7 +112,7 @@ def windowed_batch(spark, sf):
 
 _POST_WINDOWS = f"""SELECT time_bucket(INTERVAL '1 minute', make_timestamp(created_utc * 1000000))
   AS window_start, brand, {O.LABEL} AS sentiment, count(*) AS mentions,
-  round(avg(compound), 8) AS avg_compound"""
+  {O.MEAN} AS avg_compound"""
 _TEXTS = "texts AS (SELECT id, min(text) AS text FROM posts GROUP BY id)," + O.scores("texts")
 
 
@@ -225,7 +225,7 @@ hits AS (SELECT id, min(text) AS text FROM posts WHERE contains(lower(text), 'on
 @query(
     "t6_live_stream",
     O.select(_LIVE, f"""SELECT make_timestamp(CAST({V.NOW} AS BIGINT) * 1000000) AS ts, count(*) AS mentions,
-    round(avg(compound), 8) AS avg_compound, 'v' AS provider FROM scores"""),
+    {O.MEAN} AS avg_compound, 'v' AS provider FROM scores"""),
 )
 def live_stream(spark, sf):
     points, folder = scratch_path(spark, "points"), posts_folder(spark, sf, "live")
