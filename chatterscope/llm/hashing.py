@@ -110,7 +110,7 @@ def windows(hashes, size):
     if not n:
         return hashes
     width = min(size, n)
-    h = np.full(n - width + 1, np.uint64(width) * ROOT)
+    h = np.full(n - width + 1, np.uint64(width * int(ROOT) % 2**64))
     for k in range(width):
         h = mixed(h + hashes[k : n - width + 1 + k])
     return h

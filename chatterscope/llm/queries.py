@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from chatterscope.llm import sentencepiece, toxicity
 from chatterscope.llm.common import table
 from chatterscope.llm.decontamination import contamination
+from chatterscope.llm.jaccard import near_copies
 from chatterscope.llm.licenses import licences
 from chatterscope.llm.pii import personal_data
 from chatterscope.llm.quality import quality
@@ -12,6 +13,7 @@ from chatterscope.llm.registry import query
 from chatterscope.llm.secrets import secrets
 from chatterscope.llm.sentencepiece import load_vocabulary
 from chatterscope.llm.sharding import kd_shards
+from chatterscope.llm.suffix_dedup import dedup
 
 OP1_SQL = r"""
 WITH d AS (
@@ -93,3 +95,13 @@ def op3_licenses(spark, sf):
 @query("op8_secrets")
 def op8_secrets(spark, sf):
     return secrets(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query("op5_jaccard")
+def op5_jaccard(spark, sf):
+    return near_copies(table(spark, sf, "documents"))
+
+
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark, sf):
+    return dedup(table(spark, sf, "documents")).drop("removed")
