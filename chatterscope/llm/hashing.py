@@ -47,6 +47,31 @@ def text_bytes(column):
     return offsets, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
 
 
+def sliced(batches, limit=6 << 20, column="text"):
+    """The batches, cut (without copying) into pieces of about `limit` bytes of text, so that memory stays bounded."""
+    for batch in batches:
+        offsets, _ = text_bytes(batch.column(column))
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
+            end = min(end, batch.num_rows)
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def gathered(batches, limit, column="text"):
+    """Pieces of about `limit` bytes of text, put together from small batches and cut from large ones."""
+    held, size = [], 0
+    for batch in sliced(batches, limit, column):
+        held.append(batch)
+        size += batch.nbytes
+        if size >= limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _powers(n):
     up, down = np.full(n, STEP), np.full(n, BACK)
     up[0] = down[0] = 1

@@ -24,9 +24,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from chatterscope.llm.common import copied_if_small, keep, without
+from chatterscope.llm.common import bounded_batches, copied_if_small, keep
 from chatterscope.llm.components import components
-from chatterscope.llm.hashing import byte_mask, mixed, text_bytes, windows, word_hashes
+from chatterscope.llm.hashing import byte_mask, gathered, mixed, sliced, text_bytes, windows, word_hashes
 
 SEPARATORS = byte_mask((0x20, 0x20), (0x09, 0x0D))
 WORDS = 5
@@ -68,7 +68,7 @@ def short(mark):
 
 def _members(docs, words):
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             n, low, keys = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
             marks = [None] * batch.num_rows
             for i, tokens in token_sets(batch, words):
@@ -87,7 +87,7 @@ def _support(docs, words, fragments):
 
     def cut(batches):
         scale = fragments / float(SUPPORT_LIMIT)
-        for turn, batch in enumerate(batches):
+        for batch in gathered(batches, 12 << 20):
             sets = {}
             for _, tokens in token_sets(batch, words):
                 low = tokens[: np.searchsorted(tokens, SUPPORT_LIMIT)]
@@ -155,7 +155,7 @@ def _sets(docs, alive, words):
     """mark, n, copies, tokens array<long> of the classes in alive(mark, rep, n, copies)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             ids, marks, rows = batch.column("mark"), [], []
             for i, tokens in token_sets(batch, words):
                 if set_hash(tokens) == ids[i].as_py():
@@ -363,6 +363,7 @@ def near_copies(docs: DataFrame, words=WORDS, percent=PERCENT, order_rows=ORDER_
     linked to a row. Null texts and texts without words have no n-grams, no links and their own component. Repeated
     rows link like any copies. Null ids count as larger than any other.
     """
+    bounded_batches(docs.sparkSession)
     members = keep(_members(docs, words), "members")
     classes = members.where("n > 0").groupBy("mark").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("low").alias("low"),

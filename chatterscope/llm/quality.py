@@ -192,14 +192,14 @@ SCHEMA = (
 )
 
 
-def quality(docs: DataFrame, labels: DataFrame, share=CONTENT_SHARE, sample=SAMPLE_DOCS, name="quality"):
+def quality(docs: DataFrame, labels: DataFrame, share=CONTENT_SHARE, sample=SAMPLE_DOCS, name="quality", model=None):
     """docs with a struct column: the base counts, the share of words in content lines, the label of each line
     with a word (C or B) and the verdict.
 
-    A null or empty text has no words and fails. Lines without a word have no label. All columns and rows stay; a
+    `model` is what `train` returns; without it, one is trained here. A null or empty text has no words and fails. Lines without a word have no label. All columns and rows stay; a
     column called `name` is replaced.
     """
-    weights, transition = train(docs, labels, sample)
+    weights, transition = train(docs, labels, sample) if model is None else model
 
     def judge(texts):
         rows = []
@@ -217,5 +217,6 @@ def quality(docs: DataFrame, labels: DataFrame, share=CONTENT_SHARE, sample=SAMP
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs that pass; the same columns."""
-    judged = quality(docs.select(F.struct("*").alias("row"), "text"), labels)
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    judged = quality(rows, labels, model=train(docs, labels))
     return judged.where("quality.kept").select("row.*")

@@ -5,9 +5,10 @@ windows have equal grams at equal offsets, so only suffixes at anchors (one in 3
 order is that of the grams' 64-bit fingerprints, which is as good as any for finding equal ones. A run is an anchor
 with the windows that belong to it.
 
-1. A new batch of documents gets its sorted runs: a row of arrays per fragment of the order and map batch.
-2. Merge-scan: each fragment is merged with that of all existing levels; runs whose gram occurs elsewhere are fetched
-   with their bytes.
+1. A new batch of documents gets its sorted runs: a row of arrays per fragment of the order and map batch. A run
+   carries the fingerprint of all bytes of its windows.
+2. Merge-scan: each fragment is merged with that of all existing levels. A run whose bytes occur before goes as a
+   whole; of grams that occur with different bytes, one run of each kind is fetched with its bytes.
 3. Windows of these runs are compared by 128-bit fingerprints; all but the first (by doc_id and start) are removed.
 4. The batch becomes a level; levels of about equal size are merged, so a family of n batches has log n levels.
 
@@ -22,8 +23,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from chatterscope.llm.common import copied_if_small, keep, text_mark
-from chatterscope.llm.hashing import BACK, STEP, TABLE, mixed, text_bytes
+from chatterscope.llm.common import bounded_batches, keep, text_mark
+from chatterscope.llm.hashing import BACK, STEP, TABLE, gathered, mixed, sliced, text_bytes
 
 LENGTH, GRAM = 100, 32
 WINDOWS = LENGTH - GRAM + 1
@@ -39,9 +40,15 @@ _up[0] = _down[0] = 1
 UP, DOWN = np.cumprod(_up, dtype=np.uint64), np.cumprod(_down, dtype=np.uint64)
 SECOND = mixed(TABLE + np.uint64(1))
 
+SCANNED = "doc long, mark long, refs binary, spans binary, hot long, times long"
+SCANNED_NAMES = [c.split()[0] for c in SCANNED.split(", ")]
+SCANNED_KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
 RUN_SCHEMA = (
-    "fragment int, docs binary, marks binary, counts binary, keys binary, starts binary, shape binary, settled boolean"
+    "kind int, fragment int, docs binary, marks binary, counts binary, keys binary, bytes binary, starts binary, windows binary"
 )
+# Kinds of rows: runs with a gram of their own in a map batch; grams without a run; runs to be fetched.
+NAMED, NAMELESS, FETCH = range(3)
+BATCH = 8 << 20  # bytes of text that are sorted at once
 
 
 def _sums(raw, table):
@@ -54,10 +61,13 @@ def _hashes(total, at, length):
     return mixed((total[at + length] - total[at]) * DOWN[at])
 
 
+NO_RUNS = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
 def runs_of(raw, ends):
-    """(key, anchor - start, start, windows) arrays of some bytes; ends: the end of the text of each place."""
+    """(gram, bytes, start, windows) arrays of some bytes; ends: the end of the text of each place."""
     if len(raw) < LENGTH:
-        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))
+        return NO_RUNS
     total = _sums(raw, TABLE)
     grams = _hashes(total, np.arange(len(raw) - GRAM + 1), GRAM)
     low = np.uint64(20)
@@ -68,33 +78,35 @@ def runs_of(raw, ends):
     anchor = (least & np.uint64(0xFFFFF)).astype(np.int64)
     at = np.nonzero(ends[: len(anchor)] - np.arange(len(anchor)) >= LENGTH)[0]
     if not len(at):
-        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))
+        return NO_RUNS
     place = anchor[at]
     first = np.nonzero(np.concatenate([[True], (at[1:] != at[:-1] + 1) | (place[1:] != place[:-1])]))[0]
     start, count = at[first], np.diff(np.append(first, len(at)))
-    return grams[place[first]], place[first] - start, start, count
+    whole = _hashes(total, start, count + LENGTH - 1)
+    shape = ((place[first] - start) * 256 + count).astype(np.uint64)  # where the anchor lies, and how many windows
+    return grams[place[first]], mixed(whole + shape), start, count
 
 
 def all_runs(offsets, data):
-    """(row, key, lead, start, windows) arrays of all texts, in pieces of at most CHUNK bytes."""
+    """(row, gram, bytes, start, windows) arrays of all texts, in pieces of at most CHUNK bytes."""
     out, n, i = [], len(offsets) - 1, 0
     while i < n:
         j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + CHUNK - LENGTH, "right")) - 1))
         begin, end = int(offsets[i]), int(offsets[j])
         if end - begin <= CHUNK - LENGTH:
             bounds = np.asarray(offsets[i : j + 1]) - begin
-            key, lead, start, count = runs_of(data[begin:end], np.repeat(bounds[1:], np.diff(bounds)))
+            key, whole, start, count = runs_of(data[begin:end], np.repeat(bounds[1:], np.diff(bounds)))
             row = np.searchsorted(bounds, start, "right") - 1
-            out.append((row + i, key, lead, start - bounds[row], count))
+            out.append((row + i, key, whole, start - bounds[row], count))
         else:
             step = CHUNK - 2 * LENGTH
             for a in range(begin, end, step):
                 raw = data[a : min(a + step + LENGTH - 1, end)]
-                key, lead, start, count = runs_of(raw, np.full(len(raw), len(raw)))
-                out.append((np.full(len(key), i), key, lead, start + (a - begin), count))
+                key, whole, start, count = runs_of(raw, np.full(len(raw), len(raw)))
+                out.append((np.full(len(key), i), key, whole, start + (a - begin), count))
         i = j
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+        return np.zeros(0, np.int64), *NO_RUNS
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -108,68 +120,111 @@ def _per_doc(rows):
     return rows[first], np.diff(np.append(first, len(rows))).astype(np.int32)
 
 
+def _starts_of(*sorted_arrays):
+    """True where a new value (of any of the arrays) begins."""
+    new = np.zeros(len(sorted_arrays[0]), bool)
+    new[:1] = True
+    for x in sorted_arrays:
+        new[1:] |= x[1:] != x[:-1]
+    return new
+
+
+def _classes(batch):
+    """The runs of a map batch: which have equal bytes before them, and the least of each gram and bytes."""
+    ids, marks = _ids(batch.column("doc")), _ids(batch.column("mark"))
+    row, key, whole, start, count = all_runs(*text_bytes(batch.column("text")))
+    if not len(row):
+        return None
+    order = np.lexsort((start, marks[row], ids[row], whole, key))
+    first = _starts_of(key[order], whole[order])
+    least = order[np.nonzero(first)[0]]
+    mine = least[np.cumsum(first) - 1]
+    later = order[(ids[row[order]] != ids[row[mine]]) | (start[order] != start[mine])]
+    new = _starts_of(key[least])
+    kinds = np.diff(np.append(np.nonzero(new)[0], len(least)))
+    return ids, marks, row, key, whole, start, count, later, least, new, kinds, np.repeat(kinds > 1, kinds)
+
+
+def _settled(docs):
+    """What `_sorted_runs` settles inside its map batches, as rows of SCANNED."""
+
+    def run(batches):
+        for batch in gathered(batches, BATCH):
+            found = _classes(batch)
+            if found is None:
+                continue
+            ids, marks, row, key, _, start, count, later, least, _, _, several = found
+            at = least[several]
+            refs = np.zeros(len(at), REF)
+            refs["key"], refs["start"], refs["count"] = key[at], start[at], count[at]
+            parts = [
+                _by_doc(ids[row[at]], marks[row[at]], refs, "refs"),
+                _spans(ids[row[later]], marks[row[later]], start[later], start[later] + count[later] + LENGTH - 1),
+            ]
+            for x in parts:
+                if len(x):
+                    cells = [x[c].tolist() if c in x else [None] * len(x) for c in SCANNED_NAMES]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, SCANNED_KINDS)], SCANNED_NAMES)
+
+    return docs.mapInArrow(run, SCANNED)
+
+
 def _sorted_runs(docs):
     """The runs of a batch of documents(doc, mark, text), see RUN_SCHEMA; the arrays of a row are in document order.
 
-    Settled rows hold runs whose gram is repeated in the same map batch; for these, one nameless run (mark 0, doc -1,
-    the number of them as its start) stands among the others.
+    Inside a map batch, all but the first of runs with equal bytes become spans (`_settled`). A gram that has one kind of bytes
+    left gives a named run. One with several gives these as runs to be fetched, and a nameless entry (the
+    number of kinds as its start), so that no gram sends more than one entry.
     """
 
     def cut(batches):
-        for batch in batches:
-            ids, marks = _ids(batch.column("doc")), _ids(batch.column("mark"))
-            row, key, lead, start, count = all_runs(*text_bytes(batch.column("text")))
-            if not len(row):
+        for batch in gathered(batches, BATCH):
+            found = _classes(batch)
+            if found is None:
                 continue
-            order = np.argsort(key, kind="stable")
-            k = key[order]
-            first = np.concatenate([[True], k[1:] != k[:-1]])
-            times = np.diff(np.append(np.nonzero(first)[0], len(k)))
-            many = np.repeat(times > 1, times)
-            nameless = np.nonzero(first & many)[0]
-            parts = [
-                (True, order[many], None),
-                (False, order[~many], None),
-                (False, order[nameless], times[times > 1]),
-            ]
+            ids, marks, row, key, whole, start, count, later, least, new, kinds, several = found
             rows = []
-            for settled, at, copies in parts:
+            for kind, at in ((NAMED, least[~several]), (FETCH, least[several]), (NAMELESS, least[new & several])):
                 place = (key[at] >> np.uint64(58)).astype(np.int64)
                 cuts = np.searchsorted(place, np.arange(FRAGMENTS + 1))
+                times = kinds[kinds > 1] if kind == NAMELESS else None
                 for f in range(FRAGMENTS):
                     mine = at[cuts[f] : cuts[f + 1]]
                     if not len(mine):
                         continue
-                    if copies is not None:
-                        n = copies[cuts[f] : cuts[f + 1]].astype(np.uint32)
-                        rows.append((f, np.array([-1]).tobytes(), np.array([0]).tobytes(),
-                                     np.array([len(mine)], np.int32).tobytes(), key[mine].tobytes(), n.tobytes(),
-                                     np.zeros((len(mine), 2), np.uint8).tobytes(), False))
-                        continue
-                    mine = mine[np.argsort(row[mine], kind="stable")]
-                    who, counts = _per_doc(row[mine])
-                    shape = np.stack([lead[mine], count[mine]], axis=1).astype(np.uint8)
-                    rows.append((f, ids[who].tobytes(), marks[who].tobytes(), counts.tobytes(), key[mine].tobytes(),
-                                 start[mine].astype(np.uint32).tobytes(), shape.tobytes(), settled))
+                    if kind == NAMELESS:
+                        head = np.array([-1]), np.array([0]), np.array([len(mine)], np.int32)
+                        starts = times[cuts[f] : cuts[f + 1]]
+                    else:
+                        mine = mine[np.argsort(row[mine], kind="stable")]
+                        who, counts = _per_doc(row[mine])
+                        head, starts = (ids[who], marks[who], counts), start[mine]
+                    rows.append((kind, f, *(x.tobytes() for x in head), key[mine].tobytes(), whole[mine].tobytes(),
+                                 starts.astype(np.uint32).tobytes(), count[mine].astype(np.uint8).tobytes()))
+            if not rows:
+                continue
             yield pa.RecordBatch.from_pandas(
-                pd.DataFrame(rows, columns=[c.split()[0] for c in RUN_SCHEMA.split(", ")]).astype({"fragment": "int32"}),
-                preserve_index=False)
+                pd.DataFrame(rows, columns=[c.split()[0] for c in RUN_SCHEMA.split(", ")])
+                .astype({"kind": "int32", "fragment": "int32"}), preserve_index=False)
 
     return docs.mapInArrow(cut, RUN_SCHEMA)
 
 
-REF = np.dtype([("key", "<u8"), ("start", "<u4"), ("lead", "u1"), ("count", "u1")])
+REF = np.dtype([("key", "<u8"), ("start", "<u4"), ("count", "u1")])
+
+
+def _column(pdf, name, kind):
+    return np.concatenate([np.frombuffer(x, kind) for x in pdf[name]] + [np.zeros(0, kind)])
 
 
 def _unpacked(pdf):
-    """(doc, mark, refs) arrays, one entry per run, of packed rows."""
-    cat = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in pdf[name]] + [np.zeros(0, kind)])
-    counts = cat("counts", np.int32)
+    """(doc, mark, bytes, refs) arrays, one entry per run, of packed rows."""
+    counts = _column(pdf, "counts", np.int32)
     refs = np.zeros(int(counts.sum()), REF)
-    refs["key"], refs["start"] = cat("keys", np.uint64), cat("starts", np.uint32)
-    shape = cat("shape", np.uint8).reshape(-1, 2)
-    refs["lead"], refs["count"] = shape[:, 0], shape[:, 1]
-    return np.repeat(cat("docs", np.int64), counts), np.repeat(cat("marks", np.int64), counts), refs
+    refs["key"], refs["start"] = _column(pdf, "keys", np.uint64), _column(pdf, "starts", np.uint32)
+    refs["count"] = _column(pdf, "windows", np.uint8)
+    docs, marks = _column(pdf, "docs", np.int64), _column(pdf, "marks", np.int64)
+    return np.repeat(docs, counts), np.repeat(marks, counts), _column(pdf, "bytes", np.uint64), refs
 
 
 def _by_doc(doc, mark, items, name):
@@ -183,42 +238,36 @@ def _by_doc(doc, mark, items, name):
 
 
 def _merge_scan(runs, levels):
-    """doc, mark, refs of the runs to fetch (hot null), and the hot grams (hot not null)."""
-    rows = runs.where("not settled").withColumn("old", F.lit(False))
+    """Runs to fetch (refs), spans to remove (spans) of a document, and grams with many entries (hot, times)."""
+    rows = runs.where(F.col("kind").isin(NAMED, NAMELESS)).withColumn("old", F.lit(False))
     for level in levels:
         rows = rows.unionByName(level.withColumn("old", F.lit(True)))
+
     def scan(pdf):
-        doc, mark, refs = _unpacked(pdf)
+        doc, mark, whole, refs = _unpacked(pdf)
         sizes = [int(np.frombuffer(c, np.int32).sum()) for c in pdf["counts"]]
-        old = np.repeat(pdf["old"].to_numpy(), sizes)
-        order = np.argsort(refs["key"], kind="stable")
-        key, old, named = refs["key"][order], old[order], doc[order] >= 0
-        times = np.where(named | (refs["count"][order] > 0), 1, refs["start"][order]).astype(np.int64)
-        new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+        old, is_named = (np.repeat(x, sizes) for x in (pdf["old"].to_numpy(), pdf["kind"].to_numpy() != NAMELESS))
+        start = refs["start"].astype(np.int64)
+        order = np.lexsort((start, mark, doc, whole, refs["key"]))
+        key, bytes_, named = refs["key"][order], whole[order], is_named[order]
+        new = _starts_of(key)
         group = np.cumsum(new) - 1
-        entries = np.bincount(group)[group] if len(group) else group
-        total = np.bincount(group, times)[group] if len(group) else group
-        fresh = np.bincount(group, ~old)[group] if len(group) else group
-        fetch = order[named & (entries > 1) & (~old | (fresh > 0))]
-        found = _by_doc(doc[fetch], mark[fetch], refs[fetch], "refs")
-        hot = key[new & (total > HOT)].view(np.int64)
-        return pd.concat([
-            found.assign(hot=None), pd.DataFrame({"doc": None, "mark": None, "refs": None, "hot": hot, "times": total[new & (total > HOT)]})
-        ])[["doc", "mark", "refs", "hot", "times"]] if len(hot) else found.assign(hot=None, times=None)
-
-    def settled(batches):
-        for batch in batches:
-            pdf = batch.to_pandas()
-            if len(pdf):
-                found = _by_doc(*_unpacked(pdf), "refs")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found["doc"], pa.int64()), pa.array(found["mark"], pa.int64()), pa.array(found["refs"], pa.binary()),
-                     pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.float64())],
-                    ["doc", "mark", "refs", "hot", "times"])
-
-    schema = "doc long, mark long, refs binary, hot long, times double"
-    scanned = rows.groupBy("fragment").applyInPandas(scan, schema)
-    return scanned.unionByName(runs.where("settled").mapInArrow(settled, schema))
+        bytes_ = np.where(named, bytes_, 0)
+        kind = _starts_of(key, bytes_, named)
+        kinds, nameless = np.bincount(group, kind), np.bincount(group, ~named)
+        fresh, times = np.bincount(group, ~old[order]), np.bincount(group, np.where(named, kind, start[order]))
+        fetch = order[(kind & named & ((kinds > 1) | (nameless > 0))[group] & (fresh > 0)[group])]
+        least = order[np.nonzero(kind)[0][np.cumsum(kind) - 1]]
+        away = order[named & ((doc[order] != doc[least]) | (start[order] != start[least]))]
+        found = _by_doc(doc[fetch], mark[fetch], refs[fetch], "refs").assign(spans=None, hot=None, times=None)
+        gone = _spans(doc[away], mark[away], start[away], start[away] + refs["count"][away] + LENGTH - 1)
+        many = new & (times > HOT)[group]
+        common = pd.DataFrame({"hot": key[many].view(np.int64), "times": times[group][many].astype(np.int64)})
+        columns = SCANNED_NAMES
+        parts = [x.reindex(columns=columns).astype(object) for x in (found, gone, common) if len(x)]
+        return pd.concat(parts) if parts else pd.DataFrame(columns=columns)
+
+    return rows.groupBy("fragment").applyInPandas(scan, SCANNED)
 
 
 def _windows(raw, sizes, counts):
@@ -276,7 +325,7 @@ def _fetched(docs, flags, hot, parts):
 
     def run(batches):
         known = hot.value
-        for batch in batches:
+        for batch in gathered(batches, BATCH):
             ids, marks = _ids(batch.column("doc")), _ids(batch.column("mark"))
             offsets, data = text_bytes(batch.column("text"))
             lists = batch.column("refs")
@@ -287,7 +336,7 @@ def _fetched(docs, flags, hot, parts):
             row, refs = row[order], refs[order]
             begin = np.asarray(offsets)[row] + refs["start"]
             length = refs["count"].astype(np.int64) + LENGTH - 1
-            text, seen, keep_at, away = data.tobytes() if len(data) < 1 << 28 else memoryview(data), {}, [], []
+            text, seen, keep_at, away = memoryview(data), {}, [], []
             for i, (a, n) in enumerate(zip(begin.tolist(), length.tolist())):
                 if seen.setdefault(bytes(text[a : a + n]), i) == i:
                     keep_at.append(i)
@@ -378,7 +427,7 @@ def _cut(docs, spans, columns):
     """columns of docs with the removed spans, in bytes of the text."""
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             offsets, data = text_bytes(batch.column("text"))
             lists, out = batch.column("spans"), []
             for i in range(batch.num_rows):
@@ -427,12 +476,15 @@ class SuffixFamily:
         text are one document; null ids count as the largest. With `store`, the batch becomes a level.
         """
         spark = docs.sparkSession
+        bounded_batches(spark)
         docs = docs.select(
             "doc_id", F.coalesce("doc_id", F.lit(int(LAST))).alias("doc"), text_mark().alias("mark"), "text"
         )
-        runs = keep(_sorted_runs(docs.select("doc", "mark", "text")), "runs")
+        runs = _sorted_runs(docs.select("doc", "mark", "text"))
+        runs = keep(runs, "runs") if store else runs  # read twice: it is cheaper to work out than to hold on disk
         levels = [level for _, _, level in self.levels]
-        scanned = keep(_merge_scan(runs, levels), "scanned")
+        settled = _settled(docs.select("doc", "mark", "text"))
+        scanned = keep(_merge_scan(runs, levels).unionByName(settled), "scanned")
         least = HOT
         while scanned.where(F.col("times") > least).count() > HOT_ROWS:
             least *= 2
@@ -446,13 +498,14 @@ class SuffixFamily:
             texts = texts.unionByName(before)
         parts = max(FRAGMENTS, total // RUNS)
         spans = _compared(_fetched(texts, flags, shared, parts))
+        spans = spans.unionByName(scanned.where("spans is not null").select("doc", "mark", "spans"))
         spans = spans.groupBy("doc", "mark").agg(F.collect_list("spans").alias("spans"))
         if store:
             self._store(docs.select("doc", "mark", "text"), runs)
         return _cut(docs, spans, ["doc_id"])
 
     def _store(self, docs, runs):
-        self.levels.append((1, docs, runs.where("docs <> X'FFFFFFFFFFFFFFFF'")))
+        self.levels.append((1, docs, runs.where(F.col("kind").isin(NAMED, FETCH))))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (n, docs, runs), (_, before, old) = self.levels.pop(), self.levels.pop()
             merged = keep(old.unionByName(runs).repartition("fragment").sortWithinPartitions("fragment"), "level")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from chatterscope.llm.common import copied_if_small
-from chatterscope.llm.hashing import ROOT, byte_mask, mixed, text_bytes, word_hashes
+from chatterscope.llm.hashing import ROOT, byte_mask, mixed, sliced, text_bytes, word_hashes
 
 BITS = 24
 SEPARATORS = byte_mask((0, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
@@ -79,7 +79,7 @@ def train(docs: DataFrame, labels: DataFrame, sample=SAMPLE_DOCS, shards=SHARDS)
     )
 
     def features(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             offsets, data = text_bytes(batch.column("text"))
             found = [
                 np.unique(places(w[:SAMPLE_WORDS])).astype(np.int32).tobytes()
@@ -123,7 +123,7 @@ def score(docs: DataFrame, model, columns=("doc_id",), name="score") -> DataFram
     def run(batches):
         dense = np.zeros(1 << BITS, np.float32)  # pages that hold only zeros take no memory
         dense[shared.value[0]] = shared.value[1]
-        for batch in batches:
+        for batch in sliced(batches, column="_text"):
             offsets, data = text_bytes(batch.column("_text"))
             sums = np.zeros(batch.num_rows)
             for i, words in word_hashes(offsets, data, SEPARATORS):
