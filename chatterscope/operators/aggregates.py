@@ -4,8 +4,12 @@ from pyspark.sql import functions as F
 
 
 def exact_mean(c):
-    """Mean of scores that does not depend on the order in which tasks add them up."""
-    return F.avg(F.col(c).try_cast("decimal(20,12)")).cast("double")
+    """Mean of scores that does not depend on the order in which tasks add them up.
+
+    Digits after the twelfth are cut. Where a score does not fit (NaN, infinite, 1e8 or more), it is the plain mean.
+    """
+    fixed = F.col(c).try_cast("decimal(20,12)")
+    return F.when(F.count(fixed) == F.count(c), F.avg(fixed).cast("double")).otherwise(F.avg(F.col(c).cast("double")))
 
 
 def daily_aggregate(scored):

@@ -75,7 +75,8 @@ def normalize_comments(df, now=None, prefix=SITE):
 def backfill_top(df, subs, n=200, since=None, until=None):
     """The `n` best submissions per community in a time range, as posts without a brand.
 
-    The community `all` stands for every community taken together.
+    The community `all` stands for every community taken together; named ones next to it keep their own share, and a
+    post that is in both is there once. Names are compared without case and outer spaces.
     """
     if since is not None:
         df = df.where(F.col("created_utc") >= since)
@@ -84,10 +85,12 @@ def backfill_top(df, subs, n=200, since=None, until=None):
     df = df.withColumn("brand", F.lit(None).cast("string"))
     names = [s.strip().lower() for s in subs]
     order = [F.col("score").desc_nulls_last(), F.col("id").asc()]
-    if "all" in names:
-        return df.orderBy(*order).limit(n)
-    listed = df.where(F.lower("subreddit").isin(names))
-    return limit_per_group(listed, ["subreddit"], order, n)
+    overall = df.orderBy(*order).limit(n) if "all" in names else None
+    if names == ["all"]:
+        return overall
+    listed = df.withColumn("_community", F.lower(F.trim("subreddit"))).where(F.col("_community").isin(names))
+    listed = limit_per_group(listed, ["_community"], order, n).drop("_community")
+    return listed if overall is None else overall.unionByName(listed).dropDuplicates(["id"])
 
 
 def union_frames(*frames):

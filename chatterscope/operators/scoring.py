@@ -29,11 +29,18 @@ from chatterscope.functions.sentiment import (
 from chatterscope.functions.text import strip_ws
 
 
+def one_per_token(lexicon):
+    return lexicon.groupBy("token").agg(F.min("valence").alias("valence"))
+
+
 def lexicon_dict(lexicon):
-    """A lexicon table as a dict, or None if it is too large to travel inside a plan."""
+    """A lexicon table as a dict, or None if it is too large to travel inside a plan.
+
+    Of a repeated token, the least valence counts, as in `score_by_join`.
+    """
     if isinstance(lexicon, dict):
         return lexicon if len(lexicon) <= MAX_LITERAL_ENTRIES else None
-    rows = lexicon.limit(MAX_LITERAL_ENTRIES + 1).collect()
+    rows = one_per_token(lexicon).limit(MAX_LITERAL_ENTRIES + 1).collect()
     if len(rows) > MAX_LITERAL_ENTRIES:
         return None
     return {r["token"]: r["valence"] for r in rows}
@@ -122,7 +129,9 @@ def score_by_join(df, lexicon, rules=None, key="id", text="text"):
     """
     rules = rules or Rules()
     degree_of = literal_lookup(rules.degrees)
-    lexicon = lexicon.dropDuplicates(["token"])
+    if isinstance(lexicon, dict):
+        lexicon = df.sparkSession.createDataFrame(list(lexicon.items()), "token string, valence double")
+    lexicon = one_per_token(lexicon)
     method = join_method(lexicon)
     valences = lexicon.select(F.col("token").alias("word0"), "valence").hint(method)
     hits = word_rows(df, key, text, rules).join(valences, F.col("w0.word") == F.col("word0"))
@@ -174,7 +183,10 @@ def with_provider(df, provider, lexicon, rules=None, response="response", text="
     With the remote provider the answer is read from the `response` column; rows without text or
     answer fall back to the lexicon score and have no relevancy.
     """
-    fallback = compound(text, lexicon, rules)
+    small = lexicon_dict(lexicon)
+    if small is None:
+        raise ValueError("a lexicon this large must be joined: see score_by_join")
+    fallback = compound(text, small, rules)
     nothing = F.lit(None)
     if provider != "gemini":
         return df.withColumn("compound", fallback)

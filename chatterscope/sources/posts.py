@@ -1,7 +1,13 @@
 """Reading newline-delimited JSON posts, in batch and as a stream."""
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
 from chatterscope.schema import POST_SCHEMA
 
+_BROKEN = "_broken"
+
 
 def read_posts(spark, path):
     """Posts with the declared schema; unknown fields are ignored, broken fields become null."""
@@ -17,11 +23,18 @@ def read_posts_stream(spark, path, max_files=None, schema=POST_SCHEMA):
 
 
 def read_posts_lenient(spark, path):
-    """Posts from the `*.json` files of a folder; unreadable files and lines are skipped."""
-    return (
-        spark.read.schema(POST_SCHEMA)
-        .option("mode", "DROPMALFORMED")
-        .option("pathGlobFilter", "*.json")
-        .option("ignoreCorruptFiles", "true")
-        .json(path)
-    )
+    """Posts from the `*.json` files of a folder; unreadable files and lines are skipped, a missing folder is empty.
+
+    Whether a line is skipped does not depend on the columns that are read: every line is parsed whole.
+    """
+    reader = spark.read.option("pathGlobFilter", "*.json").option("ignoreCorruptFiles", "true")
+    try:
+        lines = reader.text(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], POST_SCHEMA)
+    whole = StructType([*POST_SCHEMA.fields]).add(_BROKEN, StringType())
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    posts = lines.where(F.trim("value") != "").select(F.from_json("value", whole, options).alias("post"))
+    return posts.where(f"post is not null and post.{_BROKEN} is null").select("post.*").drop(_BROKEN)

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from chatterscope.functions.text import contains_any
-from chatterscope.functions.times import event_ts
 from chatterscope.operators.live import (
     filter_relevancy,
     keep_last,
     live_point,
     live_since,
+    row_epoch,
     since,
     with_live_key,
 )
@@ -20,6 +20,12 @@ from chatterscope.schema import LIVE_POINT_SCHEMA
 from chatterscope.streaming.dedupe import dedupe_stream
 
 
+def has_checkpoint(spark, path):
+    """Whether a query has already run on this checkpoint."""
+    offsets = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/offsets")
+    return offsets.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(offsets)
+
+
 def start_live(
     posts,
     points_path,
@@ -39,19 +45,27 @@ def start_live(
     """Append one point per tick to the table at `points_path`.
 
     The checkpoint takes the place of waterline and seen keys: each file is read once, and a post
-    is counted once within `delay`. A new checkpoint starts a fresh session.
+    is counted once within `delay`. A new checkpoint starts a fresh session. A session that goes on from its
+    checkpoint counts what was fetched while it was down, as far back as the window of `backfill_minutes` reaches.
     """
-    began = track_start if track_start is not None else clock()
-    epoch = live_since(None, began, began, backfill_minutes)
+    if track_start is None and has_checkpoint(posts.sparkSession, checkpoint):
+        epoch = clock() - 60 * backfill_minutes
+    else:
+        began = track_start if track_start is not None else clock()
+        epoch = live_since(None, began, began, backfill_minutes)
     matching = with_live_key(since(posts, epoch).where(contains_any("text", keywords)))
-    seen_at = event_ts(F.coalesce("fetched_at", "created_utc"))
+    seen_at = F.timestamp_seconds(row_epoch(matching))  # seconds or milliseconds, as `since` reads them
     unique = dedupe_stream(matching.withColumn("seen_at", seen_at), delay, "seen_at", ["live_key"])
     scored = with_provider(unique, provider, lexicon, rules)
 
     def tick(batch, batch_id):
-        rows = filter_relevancy(batch, threshold) if provider == "gemini" else batch
-        point = live_point(keep_last(rows), clock(), provider)
-        point.write.mode("overwrite").parquet(f"{points_path}/tick={batch_id}")
+        batch = batch.persist()  # scores are used more than once
+        try:
+            rows = filter_relevancy(batch, threshold) if provider == "gemini" else batch
+            point = live_point(keep_last(rows), clock(), provider)
+            point.write.mode("overwrite").parquet(f"{points_path}/tick={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = scored.writeStream.option("checkpointLocation", checkpoint).foreachBatch(tick)
     return writer.trigger(**({"availableNow": True} if once else {"processingTime": trigger})).start()

@@ -14,9 +14,9 @@ def score_stream(posts, lexicon, rules=None, scorer=None, cfg=None):
     that the producer noted is kept.
     """
     dated = posts.withColumn("event_ts", event_ts("created_utc"))
-    if cfg is not None:
-        dated = explode_brands(tag_posts(dated, cfg))
-    return score_posts(dated, lexicon, rules, scorer)
+    if cfg is None:
+        return score_posts(dated, lexicon, rules, scorer)
+    return explode_brands(score_posts(tag_posts(dated, cfg), lexicon, rules, scorer))
 
 
 def windowed_sentiment(scored, window="1 minute", delay="2 minutes"):
@@ -52,7 +52,9 @@ def latest_updates(updates, keys=("window_start", "brand", "sentiment")):
 
 def start_window_query(df, sink="console", checkpoint=None, trigger="10 seconds", once=False):
     """Start a query in update mode. `sink` is a format name or a function (batch, batch_id)."""
-    writer = df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    writer = df.writeStream.outputMode("update")
+    if checkpoint is not None:
+        writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.foreachBatch(sink) if callable(sink) else writer.format(sink)
     if sink == "console":
         writer = writer.option("truncate", False)

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from checks import registry
 from checks.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLE = registry.load()
 
 
 @pytest.fixture(scope="module")
@@ -26,3 +27,4 @@ def test_entry(spark):
 
 def test_every_sql_belongs_to_a_query():
     assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
