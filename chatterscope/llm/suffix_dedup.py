@@ -28,7 +28,7 @@ from chatterscope.llm.hashing import BACK, STEP, TABLE, gathered, mixed, sliced,
 
 LENGTH, GRAM = 100, 32
 WINDOWS = LENGTH - GRAM + 1
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 FRAGMENTS = 64
 # Grams with more runs than this are dealt by windows; at most HOT_ROWS of them are sent to the executors.
 HOT, HOT_ROWS = 256, 1_000_000
@@ -48,7 +48,7 @@ RUN_SCHEMA = (
 )
 # Kinds of rows: runs with a gram of their own in a map batch; grams without a run; runs to be fetched.
 NAMED, NAMELESS, FETCH = range(3)
-BATCH = 8 << 20  # bytes of text that are sorted at once
+BATCH = 4 << 20  # bytes of text that are sorted at once
 
 
 def _sums(raw, table):
