@@ -29,7 +29,8 @@ from chatterscope.llm.hashing import BACK, STEP, TABLE, gathered, mixed, sliced,
 LENGTH, GRAM = 100, 32
 WINDOWS = LENGTH - GRAM + 1
 CHUNK = 1 << 18
-FRAGMENTS = 64
+# The least number of fragments of the order, a power of two, and the bytes of text for which there is one.
+FRAGMENTS, FRAGMENT_BYTES = 64, 16 << 20
 # Grams with more runs than this are dealt by windows; at most HOT_ROWS of them are sent to the executors.
 HOT, HOT_ROWS = 256, 1_000_000
 RUNS = 60_000  # fetched runs of one task
@@ -84,7 +85,8 @@ def runs_of(raw, ends):
     start, count = at[first], np.diff(np.append(first, len(at)))
     whole = _hashes(total, start, count + LENGTH - 1)
     shape = ((place[first] - start) * 256 + count).astype(np.uint64)  # where the anchor lies, and how many windows
-    return grams[place[first]], mixed(whole + shape), start, count
+    # Least grams are small numbers; mixed once more (one to one), they fill all fragments alike.
+    return mixed(grams[place[first]]), mixed(whole + shape), start, count
 
 
 def all_runs(offsets, data):
@@ -169,7 +171,7 @@ def _settled(docs):
     return docs.mapInArrow(run, SCANNED)
 
 
-def _sorted_runs(docs):
+def _sorted_runs(docs, fragments):
     """The runs of a batch of documents(doc, mark, text), see RUN_SCHEMA; the arrays of a row are in document order.
 
     Inside a map batch, all but the first of runs with equal bytes become spans (`_settled`). A gram that has one kind of bytes
@@ -185,13 +187,11 @@ def _sorted_runs(docs):
             ids, marks, row, key, whole, start, count, later, least, new, kinds, several = found
             rows = []
             for kind, at in ((NAMED, least[~several]), (FETCH, least[several]), (NAMELESS, least[new & several])):
-                place = (key[at] >> np.uint64(58)).astype(np.int64)
-                cuts = np.searchsorted(place, np.arange(FRAGMENTS + 1))
+                place = (key[at] >> np.uint64(65 - fragments.bit_length())).astype(np.int64)
+                cuts = np.searchsorted(place, np.arange(fragments + 1))
                 times = kinds[kinds > 1] if kind == NAMELESS else None
-                for f in range(FRAGMENTS):
+                for f in np.unique(place).tolist():
                     mine = at[cuts[f] : cuts[f + 1]]
-                    if not len(mine):
-                        continue
                     if kind == NAMELESS:
                         head = np.array([-1]), np.array([0]), np.array([len(mine)], np.int32)
                         starts = times[cuts[f] : cuts[f + 1]]
@@ -463,11 +463,20 @@ def _cut(docs, spans, columns):
 
 
 class SuffixFamily:
-    """Levels of sorted runs with their documents. Batches come in the order of doc_id: a later one holds larger ids."""
+    """Levels of sorted runs with their documents. Batches come in the order of doc_id: a later one holds larger ids.
 
-    def __init__(self):
+    `fragments`, a power of two, cuts the order of the whole family; `fragments_for` gives it from the bytes of all texts
+    that are expected, so that a fragment fits a task.
+    """
+
+    def __init__(self, fragments=FRAGMENTS):
+        self.fragments = fragments
         self.levels = []  # (batches it holds, documents, runs)
 
+    @staticmethod
+    def fragments_for(n_bytes):
+        return max(FRAGMENTS, 1 << (n_bytes // FRAGMENT_BYTES).bit_length())
+
     def add(self, docs: DataFrame, store=True) -> DataFrame:
         """doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed (spans as int64 pairs) for each row of docs.
 
@@ -480,7 +489,7 @@ class SuffixFamily:
         docs = docs.select(
             "doc_id", F.coalesce("doc_id", F.lit(int(LAST))).alias("doc"), text_mark().alias("mark"), "text"
         )
-        runs = _sorted_runs(docs.select("doc", "mark", "text"))
+        runs = _sorted_runs(docs.select("doc", "mark", "text"), self.fragments)
         runs = keep(runs, "runs") if store else runs  # read twice: it is cheaper to work out than to hold on disk
         levels = [level for _, _, level in self.levels]
         settled = _settled(docs.select("doc", "mark", "text"))
@@ -514,4 +523,5 @@ class SuffixFamily:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """The result of one batch of all documents; see SuffixFamily.add."""
-    return SuffixFamily().add(docs, store=False)
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return SuffixFamily(SuffixFamily.fragments_for(n_bytes)).add(docs, store=False)
