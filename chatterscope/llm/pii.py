@@ -98,7 +98,7 @@ def find(text, anchors):
                 end_of[kind] = match.end()
                 spans.append((5, *match.span(1)))
     for match in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in match[0].split(".") if p.strip("0")):
+        if all(len(p) <= 3 and int(p) <= 255 for part in match[0].split(".") if (p := part.lstrip("0"))):
             spans.append((1, *match.span()))
     for match in CARD.finditer(text):
         digits = digits_of(match[0]) if match.end() - match.start() >= 16 else ()
