@@ -68,10 +68,9 @@ def line_features(text):
         if not words:
             continue
         n, chars = len(words), sum(map(len, words))
-        letters = sum(map(str.isalpha, line)) if chars < 400 else sum(map(str.isalpha, line[:: chars // 200]))
-        shown = line if chars < 400 else line[:: chars // 200]
-        upper = sum(map(str.isupper, shown))
-        digits = sum(map(str.isdigit, shown))
+        letters = sum(map(str.isalpha, line))
+        upper = sum(map(str.isupper, line))
+        digits = sum(map(str.isdigit, line))
         sizes.append(n)
         rows.append((
             1.0,
@@ -81,7 +80,7 @@ def line_features(text):
             line.count("!") / n,
             line.count("|") / n,
             upper / max(1, letters),
-            digits / max(1, len(shown)),
+            digits / max(1, len(line)),
             1 - len(set(words)) / n,
             sum(map(str.__eq__, words, words[1:])) / n,
             float(line in seen),
