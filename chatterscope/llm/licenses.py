@@ -87,19 +87,29 @@ def licences(docs: DataFrame, sentences=SENTENCES, rules=RULES, name="licence")
     lookup = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
     cut = F.when(F.col("text").rlike(CUES), F.split("text", SENTENCE_END)).otherwise(F.array().cast("array<string>"))
     ids = F.filter(F.transform(cut, lambda s: F.element_at(lookup, normalised(s))), lambda i: i.isNotNull())
-    sequence = F.concat(F.lit("|"), F.array_join(ids, "|"), F.lit("|"))
-    found, rest = [], sequence
-    for licence, order in rules:
-        pattern = "|" + "|".join(order) + "|"
-        found.append(F.when(F.contains(rest, F.lit(pattern)), F.lit(licence)))
-        rest = F.replace(rest, F.lit(pattern), F.lit("|-|"))
-        rest = F.replace(rest, F.lit(pattern), F.lit("|-|"))  # neighbours share a bar
-    named = F.array_distinct(F.array_compact(F.array(*found)))
-    return docs.withColumn(
+    ordered = F.array(*[
+        F.struct(F.lit(licence).alias("licence"), F.lit("|" + "|".join(order) + "|").alias("pattern"))
+        for licence, order in rules
+    ])
+
+    def apply(state, rule):
+        rest = state["rest"]
+        taken = F.replace(F.replace(rest, rule["pattern"], F.lit("|-|")), rule["pattern"], F.lit("|-|"))  # neighbours share a bar
+        found = F.when(F.contains(rest, rule["pattern"]), F.concat(state["found"], F.array(rule["licence"])))
+        return F.struct(taken.alias("rest"), F.coalesce(found, state["found"]).alias("found"))
+
+    nothing, sentence_ids = F.array().cast("array<string>"), F.col(name)
+    start = F.struct(F.concat(F.lit("|"), F.array_join(sentence_ids, "|"), F.lit("|")).alias("rest"), nothing.alias("found"))
+    named = F.aggregate(ordered, start, apply, lambda state: F.array_distinct(state["found"]))
+    # One step after the other in the same column, so that the sentences of a text are worked out once.
+    found = docs.withColumn(name, ids).withColumn(
+        name, F.struct(sentence_ids.alias("ids"), F.when(F.size(sentence_ids) > 0, named).otherwise(nothing).alias("named"))
+    )
+    return found.withColumn(
         name,
         F.struct(
-            F.array_join(ids, ",").alias("sentence_ids"),
-            F.array_join(named, ",").alias("licences"),
-            F.size(named).cast("long").alias("n_licences"),
+            F.array_join(F.col(name)["ids"], ",").alias("sentence_ids"),
+            F.array_join(F.col(name)["named"], ",").alias("licences"),
+            F.size(F.col(name)["named"]).cast("long").alias("n_licences"),
         ),
     )
