@@ -22,9 +22,9 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from chatterscope.llm.common import bounded_batches, copied_if_small, keep
+from chatterscope.llm.common import bounded_batches, copied_if_small, keep, text_mark, without
 from chatterscope.llm.components import components
 from chatterscope.llm.hashing import byte_mask, gathered, mixed, sliced, text_bytes, windows, word_hashes
 
@@ -75,11 +75,13 @@ def _members(docs, words):
                 n[i], low[i], marks[i] = len(tokens), np.searchsorted(tokens, SUPPORT_LIMIT), set_hash(tokens)
                 keys[i] = short(marks[i])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(low), pa.array(marks, pa.binary()), pa.array(keys)],
-                ["doc_id", "n", "low", "mark", "key"],
+                [batch.column("doc_id"), batch.column("text_mark"), pa.array(n), pa.array(low),
+                 pa.array(marks, pa.binary()), pa.array(keys)],
+                ["doc_id", "text_mark", "n", "low", "mark", "key"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, low long, mark binary, key long")
+    read = docs.select("doc_id", "text", text_mark().alias("text_mark"))
+    return read.mapInArrow(run, "doc_id long, text_mark long, n long, low long, mark binary, key long")
 
 
 def _support(docs, words, fragments):
@@ -355,18 +357,14 @@ def _verify(pairs, units, sets, percent):
     )
 
 
-def near_copies(docs: DataFrame, words=WORDS, percent=PERCENT, order_rows=ORDER_ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links for every row of docs(doc_id, text).
-
-    Two rows link when 100 * |intersection| >= percent * |union| of their sets of word n-grams; a text of fewer words
-    is one n-gram. component_id is the least doc_id that links lead to, the own included; n_links counts all rows
-    linked to a row. Null texts and texts without words have no n-grams, no links and their own component. Repeated
-    rows link like any copies. Null ids count as larger than any other.
-    """
+def _classified(docs, words=WORDS, percent=PERCENT, order_rows=ORDER_ROWS):
+    """doc_id, text_mark, n, best, links of every row; best: the (unnamed, doc_id, text_mark) that comes first in the
+    row's component, null for a row without n-grams."""
     bounded_batches(docs.sparkSession)
     members = keep(_members(docs, words), "members")
     classes = members.where("n > 0").groupBy("mark").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("low").alias("low"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_mark")).alias("best"),
+        F.first("n").alias("n"), F.first("low").alias("low"),
         F.first("key").alias("key"), F.count("*").alias("copies"),
     )
     total = members.agg(F.sum("low")).first()[0] or 0
@@ -376,7 +374,7 @@ def near_copies(docs: DataFrame, words=WORDS, percent=PERCENT, order_rows=ORDER_
     alive = keep(
         classes.join(support, "key", "left")
         .where(F.coalesce("support", F.lit(0)) >= F.col("low") - may_lack)
-        .select("mark", "rep", "copies"),
+        .select("mark", "best", F.col("best.doc_id").alias("rep"), "copies"),
         "alive",
     )
     sets = keep(_sets(docs, copied_if_small(alive), words), "sets")
@@ -391,41 +389,61 @@ def near_copies(docs: DataFrame, words=WORDS, percent=PERCENT, order_rows=ORDER_
     roots = stars.select(F.col("a").alias("mark"), F.col("b").alias("root")).unionByName(
         stars.select(F.col("b").alias("mark"), F.col("b").alias("root")).distinct()
     )
-    named = roots.join(alive.select("mark", "rep"), "mark")
-    least = named.groupBy("root").agg(F.min("rep").alias("component"))
+    named = roots.join(alive.select("mark", "best"), "mark")
+    least = named.groupBy("root").agg(F.min("best").alias("first"))
     links = found.where("b is null").groupBy(F.col("a").alias("mark")).agg(F.sum("links").alias("links"))
-    linked = named.join(least, "root").select("mark", "component").join(links, "mark")
-    of_class = classes.select("mark", "rep", "copies").join(linked, "mark", "left").select(
-        F.col("mark").alias("class"), F.least("component", "rep").alias("component"),
+    linked = named.join(least, "root").select("mark", "first").join(links, "mark")
+    of_class = classes.select("mark", "best", "copies").join(linked, "mark", "left").select(
+        F.col("mark").alias("class"), F.coalesce("first", "best").alias("best"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"),
     )
     # Rows without a class get keys of their own, so that they do not meet in one task.
     own = F.coalesce("mark", F.col("doc_id").cast("string").cast("binary"), F.lit(b"-"))
-    return members.join(of_class, own == F.col("class"), "left").select(
+    return members.join(of_class, own == F.col("class"), "left").select("doc_id", "text_mark", "n", "best", "links")
+
+
+def near_copies(docs: DataFrame, words=WORDS, percent=PERCENT, order_rows=ORDER_ROWS) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links for every row of docs(doc_id, text).
+
+    Two rows link when 100 * |intersection| >= percent * |union| of their sets of word n-grams; a text of fewer words
+    is one n-gram. component_id is the least doc_id that links lead to, the own included; n_links counts all rows
+    linked to a row. Null texts and texts without words have no n-grams, no links and their own component. Repeated
+    rows link like any copies. Null ids count as larger than any other.
+    """
+    return _classified(docs, words, percent, order_rows).select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("component", "doc_id").alias("component_id"),
+        F.coalesce("best.doc_id", "doc_id").alias("component_id"),
         F.coalesce("links", F.lit(0)).alias("n_links"),
     )
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """docs with one row of each component, that of its least doc_id; the same columns.
+    """docs with one row of each component; the same columns.
 
-    Rows without n-grams stay. A doc_id that is repeated within its component stays once; where it is in several
-    components (texts of its own), all its rows are judged together and the first by text stays.
+    The row of the least doc_id stays (null ids come last); of rows with that doc_id, one text, and of repeated rows
+    the first by their columns. Rows without n-grams stay; of those that share a doc_id, one does.
     """
-    found = keep(near_copies(docs), "components")
-    away = keep(
-        found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "copies"
+    found = keep(_classified(docs).select("doc_id", F.col("text_mark").alias("mark"), "best"), "components")
+    is_first = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("mark") == F.col("best.text_mark"))
+    named = found.where("best is not null").select("doc_id", "mark", is_first.alias("first"))
+    blank = found.where("best is null and doc_id is not null").select("doc_id", "mark")
+    blanks = keep(
+        blank.groupBy("doc_id").agg(F.min("mark").alias("least"), F.count("*").alias("rows")).where("rows > 1"), "blanks"
     )
-    away_or_twice = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    twice = keep(away_or_twice, "twice")
-    one = docs.alias("here").join(
-        copied_if_small(away).alias("away"), F.col("here.doc_id") == F.col("away.doc_id"), "left_anti"
+    away = keep(
+        named.where("not first").select("doc_id", "mark")
+        .unionByName(blank.join(blanks, "doc_id").where("mark <> least").select("doc_id", "mark")).distinct(),
+        "copies",
     )
-    same = F.col("here.doc_id").eqNullSafe(F.col("twice.doc_id"))
-    listed = copied_if_small(twice).alias("twice")
-    rows = one.alias("here")
-    return rows.join(listed, same, "left_anti").unionByName(
-        rows.join(listed, same, "left_semi").orderBy("text").dropDuplicates(["doc_id"])
+    twice = keep(
+        named.where("first").groupBy("doc_id", "mark").count().where("count > 1").select("doc_id", "mark")
+        .unionByName(blanks.select("doc_id", F.col("least").alias("mark"))),
+        "twice",
     )
+    rows = without(docs, away)
+    listed = copied_if_small(twice).alias("listed")
+    same = F.col("here.doc_id").eqNullSafe(F.col("listed.doc_id")) & (text_mark("here.text") == F.col("listed.mark"))
+    again = rows.alias("here").join(listed, same, "left_semi").select(F.struct("*").alias("row"))
+    order = Window.partitionBy("row.doc_id", text_mark("row.text")).orderBy(F.to_json("row"))
+    one = again.withColumn("place", F.row_number().over(order)).where("place = 1").select("row.*")
+    return without(rows, twice).unionByName(one)

@@ -58,3 +58,11 @@ def test_one_of_each_group_stays(frame, odd_texts):
     kept = jaccard.drop_near_copies(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 4, 9]
     assert jaccard.drop_near_copies(frame([])).count() == 0
+
+
+def test_repeated_and_null_ids_lose_no_other_text(frame):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(50)) for c in "abc")
+    docs = frame([(None, one), (None, two), (None, one), (7, one), (7, two), (7, three), (7, three), (8, three),
+                  (None, None), (None, None), (9, "")], "doc_id AS row")
+    kept = [(r.doc_id, r.text) for r in jaccard.drop_near_copies(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(7, one), (7, two), (7, three), (None, None), (None, None), (9, "")], key=str)
