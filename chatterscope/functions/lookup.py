@@ -8,16 +8,22 @@ from pyspark.sql import functions as F
 # Above this many entries a dictionary belongs in a joined table, not in the plan.
 MAX_LITERAL_ENTRIES = 50_000
 
-# Above this many rows a table of terms is not copied to every executor.
+# Above this many rows or bytes a table of terms is not copied to every executor.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def join_method(terms):
-    """Join hint for a table of terms, by its counted size: copy it, or else shuffle both sides.
+    """Join hint for a table of terms, by its measured size: copy it, or else shuffle both sides.
 
-    Without a hint the planner may take the exploded texts for the small side.
+    Without a hint the planner may take the exploded texts for the small side. Rows and bytes are
+    summed per task, so measuring a large table is a scan and gathers nothing.
     """
-    return "broadcast" if terms.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else "merge"
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in terms.dtypes if kind == "string"]
+    row_bytes = sum(texts, F.lit(16 * len(terms.columns)))
+    rows, size = terms.agg(F.count(F.lit(1)), F.sum(row_bytes)).first()
+    small = rows <= MAX_BROADCAST_ROWS and (size or 0) <= MAX_BROADCAST_BYTES
+    return "broadcast" if small else "merge"
 
 
 def literal_lookup(mapping, value_type="double"):

@@ -23,21 +23,34 @@ class Tick(NamedTuple):
     point: DataFrame
     seen: DataFrame
     waterline: DataFrame
+    scored: DataFrame
 
 
-def gather(new, epoch, keywords, lexicon, provider="lexicon", threshold=0.5, rules=None):
-    """Rows since `epoch` that mention a keyword, scored, without those of low relevancy."""
+def scored_matches(new, epoch, keywords, lexicon, provider="lexicon", rules=None):
+    """Rows since `epoch` that mention a keyword, scored."""
     fresh = since(new, epoch)
-    scored = with_provider(
-        fresh.where(contains_any("text", keywords)), provider, lexicon, rules
-    )
+    return with_provider(fresh.where(contains_any("text", keywords)), provider, lexicon, rules)
+
+
+def relevant(scored, provider="lexicon", threshold=0.5):
     return filter_relevancy(scored, threshold) if provider == "gemini" else scored
 
 
+def gather(new, epoch, keywords, lexicon, provider="lexicon", threshold=0.5, rules=None):
+    """Scored matches without those of low relevancy."""
+    scored = scored_matches(new, epoch, keywords, lexicon, provider, rules)
+    return relevant(scored, provider, threshold)
+
+
 def live_tick(
     new, seen, epoch, now, keywords, lexicon, provider="lexicon", threshold=0.5, rules=None
 ):
-    """A tick over the rows in `new`: `seen` holds the live_keys of earlier ticks."""
-    raw = gather(new, epoch, keywords, lexicon, provider, threshold, rules)
+    """A tick over the rows in `new`: `seen` holds the live_keys of earlier ticks.
+
+    All parts use the scored rows, which are persisted; unpersist `scored` when the tick is done.
+    """
+    scored = scored_matches(new, epoch, keywords, lexicon, provider, rules).persist()
+    raw = relevant(scored, provider, threshold)
     posts = unseen(keep_last(with_live_key(raw)), seen)
-    return Tick(posts, live_point(posts, now, provider), add_seen(seen, posts), waterline(raw))
+    point = live_point(posts, now, provider)
+    return Tick(posts, point, add_seen(seen, posts), waterline(raw), scored)

@@ -2,11 +2,18 @@
 
 
 def write_backfill(df, path):
-    """Append posts as NDJSON; writes nothing, not even a folder, when there are none."""
-    if df.isEmpty():
-        return None
-    df.write.mode("append").option("ignoreNullFields", "false").json(path)
-    return path
+    """Append posts as NDJSON; writes nothing, not even a folder, when there are none.
+
+    The rows are kept between the look and the write, so that they are worked out once.
+    """
+    df = df.persist()
+    try:
+        if df.isEmpty():
+            return None
+        df.write.mode("append").option("ignoreNullFields", "false").json(path)
+        return path
+    finally:
+        df.unpersist()
 
 
 def start_ndjson_sink(df, path, checkpoint, flush="5 seconds", max_batch=200, once=False):

@@ -295,15 +295,20 @@ def tops_sink(spark, sf):
 
 @query("k7_refresh", O.select(O.DAILY, "SELECT brand, mentions FROM daily WHERE brand = 'src1'"))
 def refresh(spark, sf):
-    """A table that is replaced while it is cached must show its new rows after the refresh."""
-    base = scratch_path(spark, "refreshed")
-    sinks.write_daily(daily(spark, sf), base)
-    cached = sources.read_daily(spark, base).select("brand", "mentions").cache()
-    cached.count()
+    """A cached table whose files another job exchanges must show the new rows after the refresh.
+
+    Spark's own writes refresh the cache by themselves, so the folder is exchanged behind its back.
+    """
+    base, other = scratch_path(spark, "refreshed"), scratch_path(spark, "refreshing")
+    table = sinks.write_daily(daily(spark, sf), base)
+    sources.read_daily(spark, base).select("brand", "mentions").cache().count()
     fresh = sources.read_daily(spark, written(spark, sf)).where(F.col("brand") == "src1")
-    sinks.write_daily(fresh.drop("year", "month"), base)
-    sinks.refresh(spark, base)
-    cached.unpersist()
+    new = sinks.write_daily(fresh.drop("year", "month"), other)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(table).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.rename(path(table), path(f"{other}/before"))
+    files.rename(path(new), path(table))
+    sinks.refresh(spark, table)
     return sources.read_daily(spark, base).select("brand", "mentions")
 
 

@@ -207,6 +207,16 @@ def backfill_window(spark, sf):
     return live.since(V.posts(spark, sf), epoch).agg(F.count(F.lit(1)).alias("posts"))
 
 
+@query(
+    "t7_backfill_window_binds",
+    O.select(O.POSTS, """SELECT count(*) AS posts FROM posts WHERE fetched_at >= 1706996400"""),
+)
+def backfill_window_binds(spark, sf):
+    """The waterline lies days back; the window of an hour decides."""
+    epoch = live.live_since(1706000000, 1705000000, 1707000000, backfill_minutes=60)
+    return live.since(V.posts(spark, sf), epoch).agg(F.count(F.lit(1)).alias("posts"))
+
+
 @query(
     "f3_live_match",
     O.select(O.POSTS, f"""SELECT id, fetched_at, {O.EXCERPT.format('text', 300)} AS caption FROM posts

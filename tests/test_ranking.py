@@ -94,3 +94,17 @@ def test_limit_per_group_beyond_the_threshold(spark):
         for g in (0, 1):
             ids = sorted((r["id"] for r in kept if r["g"] == g), reverse=True)
             assert ids == [i for i in range(5999, -1, -1) if (i % 3 == 0) == bool(g)][:n]
+
+
+def test_monthly_top_shuffles_no_text(spark, tmp_path):
+    df = _scored(spark, [3, 2, 2, 1]).withColumn("text", F.lit("some text"))
+    df.write.parquet(str(tmp_path / "scored"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 1)
+    try:
+        top = ranking.monthly_top(spark.read.parquet(str(tmp_path / "scored")))
+        plan = top._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert top.count() == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
