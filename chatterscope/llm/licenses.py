@@ -1,7 +1,9 @@
 """Licence scans by sentence rules: normalised sentences become identifiers, sequences of them become licences.
 
 A text is cut into sentences; a sentence that equals a known one after normalisation (ASCII lower case, only letters
-and digits, single spaces) gives its identifier. Unknown sentences are skipped. The rules are tried in order on the
+and digits, single spaces) gives its identifier. A sentence may start and end with a line and may run over line breaks
+and comment leaders, but not over a blank line; of two that start at the same place, the longer counts. Unknown
+sentences are skipped. The rules are tried in order on the
 sequence of identifiers; what a rule matches is taken, so that a later, shorter rule does not match it again.
 """
 
@@ -57,19 +59,28 @@ RULES = [
     ("CC0-1.0", ["CC0-REF"]),
     ("Proprietary", ["RESERVED"]),
 ]
-# The end of a line, or white space after a closing mark, but not before a number; a colon closes before a capital.
-SENTENCE_END = r"\n+|(?<=[.;!?])[ \t\r]+(?![0-9])|(?<=:)[ \t\r]+(?=[A-Z])"
-OTHER = r"[^0-9a-z]+"
+# Marks put into a text: LINE where a line ends, END where a sentence or a paragraph does. Marks that a text holds itself
+# become commas, which belong to no sentence.
+LINE, END = "\u0001", "\u0002"
+# A line break goes with the blanks before it and the comment leader or list mark after it.
+LINE_BREAK = r"[ \t\r]*+\n[^0-9A-Za-z\n]*+"
+# A blank line, or white space after a closing mark, but not before a number; a colon closes before a capital.
+SENTENCE_END = r"\u0001{2,}|(?<=[.;!?])[ \t\r\u0001]++(?![0-9])|(?<=:)[ \t\r\u0001]++(?=[A-Z])"
+OTHER = r"[^0-9a-z\u0001\u0002]+"
 # Each known sentence holds one of these; texts without any are not cut at all.
-CUES = "(?i)licen[sc]e|permission|copyright|warranty|redistribut|public domain|rights reserved"
+CUES = "(?i)licen[sc]e|permission|copyright|warranty|redistribut|public[^0-9a-z]+domain|rights[^0-9a-z]+reserved"
 
 
-def normalised(sentence):
-    return F.trim(F.regexp_replace(ascii_lower(sentence), OTHER, " "))
+def marked(text):
+    """The normal form of a text, with marks where lines and sentences end and at both ends."""
+    lines = F.regexp_replace(F.translate(text, LINE + END, ",,"), LINE_BREAK, LINE)
+    sentences = ascii_lower(F.regexp_replace(lines, SENTENCE_END, END))
+    tight = F.regexp_replace(F.regexp_replace(sentences, OTHER, " "), " ?([\\u0001\\u0002]) ?", "$1")
+    return F.concat(F.lit(END), F.trim(tight), F.lit(END))
 
 
 def plain_normalised(sentence):
-    """`normalised` of a constant."""
+    """The normal form of one sentence."""
     kept = "".join(c.lower() if c.isascii() and c.isalnum() else " " for c in sentence)
     return " ".join(kept.split())
 
@@ -84,9 +95,14 @@ def licences(docs: DataFrame, sentences=SENTENCES, rules=RULES, name="licence")
     known = {}
     for number, sentence in sentences:
         known.setdefault(plain_normalised(sentence), number)
+    known.pop("", None)
     lookup = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    cut = F.when(F.col("text").rlike(CUES), F.split("text", SENTENCE_END)).otherwise(F.array().cast("array<string>"))
-    ids = F.filter(F.transform(cut, lambda s: F.element_at(lookup, normalised(s))), lambda i: i.isNotNull())
+    # Between two marks, the longest first; a line may end at any of the spaces.
+    longest = sorted(known, key=len, reverse=True)
+    pattern = "[\\u0001\\u0002](" + "|".join(s.replace(" ", "[ \\u0001]") for s in longest) + ")(?=[\\u0001\\u0002])"
+    hits = F.regexp_extract_all(marked(F.col("text")), F.lit(pattern), F.lit(1))
+    cut = F.when(F.col("text").rlike(CUES), hits).otherwise(F.array().cast("array<string>"))
+    ids = F.transform(cut, lambda s: F.element_at(lookup, F.translate(s, LINE, " ")))
     ordered = F.array(*[
         F.struct(F.lit(licence).alias("licence"), F.lit("|" + "|".join(order) + "|").alias("pattern"))
         for licence, order in rules

@@ -1,3 +1,7 @@
+import textwrap
+
+import pytest
+
 from chatterscope.llm import licenses as lic
 
 TEXT = dict(lic.SENTENCES)
@@ -31,3 +35,40 @@ def test_every_known_sentence_has_a_cue_and_is_one_sentence(frame):
 def test_odd_texts(frame, odd_texts):
     assert {r[0] for r in scan(frame, odd_texts)} == {""}
     assert scan(frame, []) == []
+
+
+def wrapped(*names, leader="", width=60):
+    """The named sentences hard-wrapped, a paragraph each, every line after a comment leader."""
+    lines = [line for k in names for line in [*textwrap.wrap(TEXT[k], width), ""]]
+    return "\n".join(leader + line for line in lines)
+
+
+@pytest.mark.parametrize("leader", ["", " * ", "# ", "// ", ";; ", "! ", "-- "])
+def test_wrapped_notices(frame, leader):
+    mit = ("MIT-GRANT", "MIT-NOTICE", "AS-IS")
+    bsd = ("BSD-GRANT", "BSD-SOURCE", "BSD-BINARY", "BSD-ENDORSE")
+    gpl = ("GPL-FREE", "GPL-NOWARRANTY")
+    head = f"{leader}Copyright (c) 2020 A. Person\n"
+    rows = scan(frame, [
+        f"{leader}The MIT License\n{leader}\n" + wrapped(*mit, leader=leader),
+        head + wrapped(*bsd, leader=leader), head + wrapped(*bsd[:3], leader=leader).replace("\n", "\r\n"),
+        "words before.\n" + wrapped(*gpl, leader=leader, width=33) + "\nwords after", wrapped(gpl[0], leader=leader, width=20),
+    ])
+    assert [r[1] for r in rows] == ["MIT", "BSD-3-Clause", "BSD-2-Clause", "GPL-3.0-or-later", "GPL-3.0-or-later"]
+    assert rows[0][0] == ",".join(mit) and rows[1][0] == ",".join(bsd)
+
+
+def test_numbered_clauses_and_gaps(frame):
+    first, source, binary = (TEXT[k] for k in ("BSD-GRANT", "BSD-SOURCE", "BSD-BINARY"))
+    rows = scan(frame, [
+        "\n".join([*textwrap.wrap(first, 50), *textwrap.wrap("1. " + source, 50), *textwrap.wrap("2. " + binary, 50)]),
+        "Copyright 2020 A\nAll   rights\n# reserved.", "All \trights  reserved.", "Dedicated to the public\n  domain under CC0 1.0.",
+        "Terms of the Mozilla Public License.\nThis Source Code Form is subject to the terms of the Mozilla Public License, v.\n2.0.",
+        "Released under the\n\nMIT License.", "not Released under\nthe MIT License.", "Released under the MIT\nLicense\nor not",
+    ])
+    assert [r[1] for r in rows] == ["BSD-2-Clause", "Proprietary", "Proprietary", "CC0-1.0", "MPL-2.0", "", "", "MIT"]
+
+
+def test_marks_in_texts_end_nothing(frame):
+    rows = scan(frame, ["A license.\u0001Released under the MIT License.", "a\u0002Released under the MIT License.\u0002"])
+    assert [r[1] for r in rows] == ["", ""]
