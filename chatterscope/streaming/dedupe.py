@@ -5,15 +5,17 @@ from pyspark.sql import functions as F
 _SPREAD = 16
 
 
-def dedupe_stream(df, delay="1 hour", event_time="event_ts", keys=("type", "id"), spread=False):
-    """Each post once within `delay`. State is bounded by time.
+def dedupe_stream(df, delay="1 hour", keys=("type", "id"), spread=False):
+    """Each post once among those that arrive within `delay` of its first copy. State is bounded by time.
+
+    The watermark is that of the arrival, the clock of the micro-batch, not of a column of the posts: old posts are
+    not late, and a post that is dated ahead moves nothing. A copy that arrives later than `delay` counts anew.
 
     `spread` adds a round per task share before the final one, for streams in which one id may make
     up a large part of a micro-batch.
     """
-    df = df.withWatermark(event_time, delay)
-    if not spread:
-        return df.dropDuplicatesWithinWatermark(list(keys))
-    shared = df.withColumn("_share", F.spark_partition_id() % _SPREAD)
-    once = shared.dropDuplicatesWithinWatermark([*keys, "_share"])
-    return once.drop("_share").dropDuplicatesWithinWatermark(list(keys))
+    df = df.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", delay)
+    if spread:
+        shared = df.withColumn("_share", F.spark_partition_id() % _SPREAD)
+        df = shared.dropDuplicatesWithinWatermark([*keys, "_share"]).drop("_share")
+    return df.dropDuplicatesWithinWatermark(list(keys)).drop("_arrived")

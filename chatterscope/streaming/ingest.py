@@ -1,7 +1,6 @@
 """Live ingest: two raw feeds to one folder of NDJSON posts."""
 
 from chatterscope.config import clean_keywords
-from chatterscope.functions.times import event_ts
 from chatterscope.operators.ingest import normalize_comments, normalize_submissions, union_feeds
 from chatterscope.operators.tagging import extract_brand
 from chatterscope.schema import POST_SCHEMA
@@ -18,5 +17,4 @@ def mentions_feed(submissions, comments, keywords, now=None):
 def start_ingest(submissions, comments, keywords, path, checkpoint, delay="1 hour", now=None, **sink):
     """Run the feed through the dedupe into the NDJSON sink."""
     feed = mentions_feed(submissions, comments, keywords, now)
-    unique = dedupe_stream(feed.withColumn("event_ts", event_ts("created_utc")), delay)
-    return start_ndjson_sink(unique.select(*POST_SCHEMA.names), path, checkpoint, **sink)
+    return start_ndjson_sink(dedupe_stream(feed, delay).select(*POST_SCHEMA.names), path, checkpoint, **sink)

@@ -2,7 +2,6 @@
 
 import time
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from chatterscope.functions.text import contains_any
@@ -11,7 +10,6 @@ from chatterscope.operators.live import (
     keep_last,
     live_point,
     live_since,
-    row_epoch,
     since,
     with_live_key,
 )
@@ -54,8 +52,7 @@ def start_live(
         began = track_start if track_start is not None else clock()
         epoch = live_since(None, began, began, backfill_minutes)
     matching = with_live_key(since(posts, epoch).where(contains_any("text", keywords)))
-    seen_at = F.timestamp_seconds(row_epoch(matching))  # seconds or milliseconds, as `since` reads them
-    unique = dedupe_stream(matching.withColumn("seen_at", seen_at), delay, "seen_at", ["live_key"])
+    unique = dedupe_stream(matching, delay, ["live_key"])
     scored = with_provider(unique, provider, lexicon, rules)
 
     def tick(batch, batch_id):

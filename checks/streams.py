@@ -193,6 +193,31 @@ def dedupe_spread(spark, sf):
     return read_posts(spark, out).select("type", "id", "created_utc")
 
 
+@query(
+    "t5_late_posts",
+    O.select(O.POSTS, """SELECT DISTINCT type, id, created_utc FROM posts
+    UNION ALL SELECT 'comment', 'ahead', 4102444800"""),
+)
+def late_posts(spark, sf):
+    """The newest posts first, with one dated years ahead, then older ones days apart and the first ones again, in
+    runs of one query with the default delay.
+    """
+    posts = V.posts(spark, sf)
+    when = F.col("created_utc")
+    newest = posts.where(when >= 1704067200 + 40 * 86400)
+    ahead = spark.createDataFrame(
+        [tuple({"id": "ahead", "type": "comment", "created_utc": 4102444800}.get(c) for c in POST_SCHEMA.names)], POST_SCHEMA
+    )
+    middle = posts.where((when >= 1704067200 + 10 * 86400) & (when < 1704067200 + 40 * 86400))
+    oldest = posts.where(when < 1704067200 + 10 * 86400)
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("late", "unique", "checkpoint"))
+    for portion in (newest.select(*POST_SCHEMA.names).unionByName(ahead), middle, oldest, newest):
+        portion.write.mode("append").option("ignoreNullFields", "false").json(source)
+        unique = dedupe_stream(read_posts_stream(spark, source)).select(*POST_SCHEMA.names)
+        run(start_ndjson_sink(unique, out, checkpoint, once=True))
+    return read_posts(spark, out).select("type", "id", "created_utc")
+
+
 _FIRST = r"regexp_extract(lower(body), '(^|[^\pL\pM\pN_])(onnd|treoié|la)([^\pL\pM\pN_]|$)', 2)"
 _FEED = f"""WITH subs AS ({_SUBMISSION.replace('md5(', '(')}), coms AS ({_COMMENT.replace('md5(', '(')}),
 feed AS (SELECT id, type, digest AS body FROM subs UNION ALL SELECT id, type, digest FROM coms)

@@ -5,10 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from chatterscope.operators.live import last_points
-from chatterscope.schema import POST_SCHEMA
+from chatterscope.schema import COMMENT_SCHEMA, POST_SCHEMA, SUBMISSION_SCHEMA
 from chatterscope.sinks.files import start_ndjson_sink
 from chatterscope.sources.posts import read_posts, read_posts_stream
 from chatterscope.streaming.dedupe import dedupe_stream
+from chatterscope.streaming.ingest import start_ingest
 from chatterscope.streaming.live import read_points, start_live
 from chatterscope.streaming.windows import (
     latest_updates,
@@ -103,6 +104,35 @@ def test_stream_dedupe(spark, feed, spread):
     assert got == [("comment", "1"), ("comment", "2"), ("comment", "3"), ("submission", "1")]
 
 
+@pytest.mark.parametrize("spread", [False, True])
+def test_late_posts_and_a_post_dated_ahead_lose_nothing(spark, feed, spread):
+    day = 86_400
+    for at in (4_102_444_800, T0 + 9 * day, T0, T0 + day, T0 - 40 * day, None):
+        feed.put(_post(at, at), _post("again", T0))
+        unique = dedupe_stream(feed.stream(), spread=spread).select(*POST_SCHEMA.names)
+        start_ndjson_sink(unique, feed.dir("out"), feed.dir("check"), once=True).awaitTermination()
+    got = sorted(r["id"] for r in read_posts(spark, feed.dir("out")).collect())
+    assert got == sorted(["again", "4102444800", "None", *(str(T0 + d * day) for d in (9, 0, 1, -40))])
+
+
+def test_ingest_and_live_take_late_posts(spark, tmp_path):
+    folders = {n: tmp_path / n for n in ("subs", "coms", "in")}
+    for f in folders.values():
+        f.mkdir()
+    subs, coms = (read_posts_stream(spark, str(folders[n]), schema=s) for n, s in (("subs", SUBMISSION_SCHEMA), ("coms", COMMENT_SCHEMA)))
+    total = 0
+    for i, at in enumerate((4_102_444_800, T0, T0 - 900_000)):
+        (folders["coms"] / f"{i}.json").write_text(json.dumps({"id": str(i), "created_utc": at, "body": "a nike"}) + "\n")
+        (folders["in"] / f"{i}.json").write_text(json.dumps(_post(i, at, "a nike")) + "\n")
+        start_ingest(subs, coms, ["nike"], str(tmp_path / "out"), str(tmp_path / "c1"), once=True).awaitTermination()
+        start_live(
+            read_posts_stream(spark, str(folders["in"])), str(tmp_path / "points"), str(tmp_path / "c2"), ["nike"], LEXICON,
+            track_start=1, backfill_minutes=0, clock=lambda: T0, once=True,
+        ).awaitTermination()
+    assert sorted(r["id"] for r in read_posts(spark, str(tmp_path / "out")).collect()) == ["0", "1", "2"]
+    assert sum(r["mentions"] for r in read_points(spark, str(tmp_path / "points")).collect()) == 3
+
+
 def test_ndjson_files_are_small(spark, feed):
     feed.put(*[_post(i, T0, "Über") for i in range(25)])
     query = start_ndjson_sink(feed.stream(), feed.dir("out"), feed.dir("check"), max_batch=10, once=True)
