@@ -20,9 +20,8 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 
-# Documents of the training sample and lines per document of it: the bound of the classifier's sample.
+# Documents of the training sample, each with all of its lines: the bound of the classifier's sample.
 SAMPLE_DOCS = 3000
-SAMPLE_LINES = 64
 CONTENT_SHARE = 0.5
 N_FEATURES = 12
 
@@ -108,37 +107,40 @@ def viterbi(emission, transition):
 def train_field(chains, labels, rounds=150, rate=0.5, decay=1e-3):
     """Weights [features, 2] and transitions [2, 2] from feature rows per chain and a label per chain.
 
-    Gradient ascent with momentum over all chains at once; the first transition starts from a state of value 0.
+    Gradient ascent with momentum over all chains at once; the first transition starts from a state of value 0. Lines are
+    laid out by their place in the chain, the longest chains first, so that a place takes one step and no room is filled up.
     """
-    longest = max(map(len, chains))
-    x = np.zeros((len(chains), longest, N_FEATURES))
-    mask = np.zeros((len(chains), longest))
-    for i, rows in enumerate(chains):
-        x[i, : len(rows)], mask[i, : len(rows)] = rows, 1
-    y = np.eye(2)[np.asarray(labels)]
+    order = sorted(range(len(chains)), key=lambda i: -len(chains[i]))
+    chains, y = [chains[i] for i in order], np.eye(2)[np.asarray(labels)[order]]
+    sizes = np.array([len(c) for c in chains])
+    active = (len(sizes) - np.searchsorted(np.sort(sizes), np.arange(sizes[0]), side="right")).tolist()
+    starts = np.cumsum([0, *active]).tolist()
+    steps = list(zip(starts, active))
+    chain = np.concatenate([np.arange(k) for k in active])
+    place = np.repeat(np.arange(len(active)), active)
+    # Where each line of a chain has been put, chain by chain.
+    put = np.empty(len(chain), np.int64)
+    put[(np.cumsum(sizes) - sizes)[chain] + place] = np.arange(len(chain))
+    x = np.empty((len(chain), N_FEATURES))
+    x[put] = np.concatenate(chains)
+    later = np.arange(active[0], len(chain))
+    before = np.array(starts)[place[later] - 1] + chain[later]
+    seen_w, seen_t = x.T @ y[chain], np.diag((y * (sizes - 1)[:, None]).sum(0))
     weights, transition = np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
-    speed_w, speed_t, lines = 0.0, 0.0, mask.sum()
+    speed_w, speed_t, lines = 0.0, 0.0, len(chain)
     for _ in range(rounds):
         e = x @ weights
-        forward = [e[:, 0] + np.logaddexp(transition[0], transition[0] * 0) * 0]
-        for t in range(1, longest):
-            step = np.logaddexp.reduce(forward[-1][:, :, None] + transition, axis=1) + e[:, t]
-            forward.append(np.where(mask[:, t, None] > 0, step, forward[-1]))
-        backward = [np.zeros((len(chains), 2))]
-        for t in range(longest - 1, 0, -1):
-            step = np.logaddexp.reduce(transition + (e[:, t] + backward[-1])[:, None, :], axis=2)
-            backward.append(np.where(mask[:, t, None] > 0, step, backward[-1]))
-        backward = backward[::-1]
-        total = np.logaddexp.reduce(forward[-1], axis=1)
-        expected_t = np.zeros((2, 2))
-        p = np.zeros((len(chains), longest, 2))
-        for t in range(longest):
-            p[:, t] = np.exp(forward[t] + backward[t] - total[:, None]) * mask[:, t, None]
-            if t:
-                pair = forward[t - 1][:, :, None] + transition + (e[:, t] + backward[t])[:, None, :]
-                expected_t += (np.exp(pair - total[:, None, None]) * mask[:, t, None, None]).sum(0)
-        seen_t = np.diag((y * (mask.sum(1) - 1)[:, None]).sum(0))
-        grad_w = np.einsum("dtf,dts->fs", x, y[:, None] * mask[:, :, None] - p) / lines - decay * weights
+        forward, backward = e.copy(), np.zeros_like(e)
+        for (p, _), (s, k) in zip(steps, steps[1:]):
+            forward[s : s + k] += np.logaddexp.reduce(forward[p : p + k, :, None] + transition, axis=1)
+        for (p, _), (s, k) in zip(steps[-2::-1], steps[:0:-1]):
+            ahead = e[s : s + k] + backward[s : s + k]
+            backward[p : p + k] = np.logaddexp.reduce(transition + ahead[:, None, :], axis=2)
+        total = np.logaddexp.reduce(forward[: active[0]] + backward[: active[0]], axis=1)[chain]
+        expected_w = x.T @ np.exp(forward + backward - total[:, None])
+        ahead = (e + backward - total[:, None])[later]
+        expected_t = np.exp(forward[before][:, :, None] + transition + ahead[:, None, :]).sum(0)
+        grad_w = (seen_w - expected_w) / lines - decay * weights
         grad_t = (seen_t - expected_t) / lines - decay * transition
         speed_w, speed_t = 0.9 * speed_w + grad_w, 0.9 * speed_t + grad_t
         weights, transition = weights + rate * speed_w, transition + rate * speed_t
@@ -163,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, sample=SAMPLE_DOCS):
 
     def features(batches):
         for pdf in batches:
-            found = [(int(y), line_features(t)[1][:SAMPLE_LINES]) for y, t in zip(pdf["label"], pdf["text"])]
+            found = [(int(y), line_features(t)[1]) for y, t in zip(pdf["label"], pdf["text"])]
             yield pd.DataFrame(
                 [(y, x.astype(np.float32).tobytes()) for y, x in found if len(x)], columns=["label", "x"]
             )

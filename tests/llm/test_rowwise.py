@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import re
 from collections import Counter
 
@@ -157,3 +158,37 @@ def test_words_of_long_texts_do_not_depend_on_pieces(monkeypatch):
     whole = {i: h.tolist() for i, h in word_hashes(*text_bytes(texts), toxicity.SEPARATORS)}
     monkeypatch.setattr(hashing, "CHUNK", 700)
     assert {i: h.tolist() for i, h in word_hashes(*text_bytes(texts), toxicity.SEPARATORS)} == whole
+
+
+def test_quality_learns_from_lines_far_down(spark, frame):
+    same = "\n".join(f"some plain line number {i}" for i in range(70))
+    good, junk = ["\n".join([line] * 90) for line in ("A fine sentence with eight words in it.", "## ## || || !! !! ## ##")]
+    docs = frame([f"{same}\n{junk if i % 2 else good}" for i in range(40)])
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, quality int")
+    weights, transition = quality.train(docs, labels)
+    for text, state in ((good, 1), (junk, 0)):
+        _, x = quality.line_features(text)
+        assert set(quality.viterbi(x @ weights, transition)) == {state}
+
+
+def test_field_gradient_over_chains_of_any_length():
+    r = np.random.default_rng(3)
+    chains, labels = [r.random((n, quality.N_FEATURES)) for n in (1, 4, 2, 1, 3)], [0, 1, 1, 1, 0]
+    lines = sum(map(len, chains))
+
+    def likelihood(w, t):
+        total = 0.0
+        for x, y in zip(chains, labels):
+            e = x @ w
+            paths = list(itertools.product((0, 1), repeat=len(x)))
+            worth = [sum(e[i, s] for i, s in enumerate(p)) + sum(t[a, b] for a, b in zip(p, p[1:])) for p in paths]
+            total += worth[paths.index((y,) * len(x))] - np.logaddexp.reduce(worth)
+        return total / lines
+
+    weights, transition = quality.train_field(chains, labels, rounds=1, rate=1.0)
+    zero_w, zero_t, d = np.zeros((quality.N_FEATURES, 2)), np.zeros((2, 2)), 1e-5
+    for got, moved in ((weights, lambda at, by: likelihood(at * by, zero_t)), (transition, lambda at, by: likelihood(zero_w, at * by))):
+        for place in np.ndindex(got.shape):
+            at = np.zeros(got.shape)
+            at[place] = 1
+            assert abs(got[place] - (moved(at, d) - moved(at, -d)) / (2 * d)) < 1e-6
