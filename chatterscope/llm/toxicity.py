@@ -18,7 +18,6 @@ SEPARATORS = byte_mask((0, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
 
 # The bound of the training sample: labelled documents, chosen by a hash of their id.
 SAMPLE_DOCS = 20_000
-SAMPLE_WORDS = 4_000
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.0
 EPOCHS = 12
 SHARDS = 2
@@ -60,7 +59,7 @@ def ftrl(rows, labels, epochs=EPOCHS):
 
 def train(docs: DataFrame, labels: DataFrame, sample=SAMPLE_DOCS, shards=SHARDS):
     """(places, weights, bias): the mean of `shards` models, each trained in a task of its own on its share of at
-    most `sample` labelled documents (the first SAMPLE_WORDS words of a training text; scoring reads all).
+    most `sample` labelled documents, read whole like those that are scored.
 
     labels(doc_id, toxic 0/1): documents labelled twice take the larger label; nulls are ignored. With nothing to
     learn from, weights and bias are 0 and every score is 0.5.
@@ -82,7 +81,7 @@ def train(docs: DataFrame, labels: DataFrame, sample=SAMPLE_DOCS, shards=SHARDS)
         for batch in sliced(batches):
             offsets, data = text_bytes(batch.column("text"))
             found = [
-                np.unique(places(w[:SAMPLE_WORDS])).astype(np.int32).tobytes()
+                np.unique(places(w)).astype(np.int32).tobytes()
                 for _, w in word_hashes(offsets, data, SEPARATORS)
             ]
             yield pa.RecordBatch.from_arrays(

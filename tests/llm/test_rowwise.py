@@ -192,3 +192,12 @@ def test_field_gradient_over_chains_of_any_length():
             at = np.zeros(got.shape)
             at[place] = 1
             assert abs(got[place] - (moved(at, d) - moved(at, -d)) / (2 * d)) < 1e-6
+
+
+def test_toxicity_learns_from_words_far_down(spark, frame):
+    clean = "some plain words here " * 1_100
+    docs = frame([clean + ("vile slur " if i % 2 else "kind praise ") * 3 for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    scores = [r.score for r in toxicity.score(frame(["vile slur", "kind praise"]), model).orderBy("doc_id").collect()]
+    assert scores[0] > 0.5 > scores[1]
