@@ -72,11 +72,19 @@ def normalize_comments(df, now=None, prefix=SITE):
     )
 
 
+def _last_versions(df):
+    """One row per id, the one fetched last; rows without an id stay."""
+    ranks = {"fetched_at": "desc", "score": "desc", "created_utc": "desc", "permalink": "asc", "text": "asc"}
+    order = [getattr(F.col(c), f"{way}_nulls_last")() for c, way in ranks.items() if c in df.columns]
+    return limit_per_group(df.where(F.col("id").isNotNull()), ["id"], order, 1).unionByName(df.where(F.col("id").isNull()))
+
+
 def backfill_top(df, subs, n=200, since=None, until=None):
     """The `n` best submissions per community in a time range, as posts without a brand.
 
     The community `all` stands for every community taken together; named ones next to it keep their own share, and a
-    post that is in both is there once. Names are compared without case and outer spaces.
+    post that is in both is there once. Names are compared without case and outer spaces. Of the versions of an id in
+    the time range, the one fetched last counts, then the one of the higher score; rows without an id are all kept.
     """
     if since is not None:
         df = df.where(F.col("created_utc") >= since)
@@ -84,13 +92,18 @@ def backfill_top(df, subs, n=200, since=None, until=None):
         df = df.where(F.col("created_utc") < until)
     df = df.withColumn("brand", F.lit(None).cast("string"))
     names = [s.strip().lower() for s in subs]
+    df = _last_versions(df)
     order = [F.col("score").desc_nulls_last(), F.col("id").asc()]
     overall = df.orderBy(*order).limit(n) if "all" in names else None
     if names == ["all"]:
         return overall
     listed = df.withColumn("_community", F.lower(F.trim("subreddit"))).where(F.col("_community").isin(names))
     listed = limit_per_group(listed, ["_community"], order, n).drop("_community")
-    return listed if overall is None else overall.unionByName(listed).dropDuplicates(["id"])
+    if overall is None:
+        return listed
+    both = overall.unionByName(listed)
+    nameless = both.where(F.col("id").isNull()).distinct()
+    return both.where(F.col("id").isNotNull()).dropDuplicates(["id"]).unionByName(nameless)
 
 
 def union_frames(*frames):

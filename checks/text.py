@@ -207,16 +207,32 @@ _KEYED = """keyed AS (
     AS live_key FROM keyed"""),
 )
 def live_key(spark, sf):
+    return live_keys(V.posts(spark, sf).where(F.col("fetched_at") - F.col("created_utc") < 3600)).drop("fetched_at")
+
+
+def live_keys(posts):
     n = F.col("id").cast("long")
-    firsts = V.posts(spark, sf).where(F.col("fetched_at") - F.col("created_utc") < 3600)
-    keyed = firsts.withColumn("shown", F.col("id")).withColumns(
+    keyed = posts.withColumn("shown", F.col("id")).withColumns(
         {
             "permalink": F.when(n % 3 != 0, F.concat(F.lit(" "), "permalink")),
             "url": F.when(n % 8 != 0, F.col("url")),
             "id": F.when(n % 4 == 0, "  ").when(n % 4 == 1, F.lit(None)).otherwise(F.col("id")),
         }
     )
-    return keyed.select(F.col("shown").alias("id"), keys.live_key(keyed).alias("live_key"))
+    return keyed.select(F.col("shown").alias("id"), "fetched_at", keys.live_key(keyed).alias("live_key"))
+
+
+@query(
+    "p21_live_key_versions",
+    O.select(O.POSTS + ",\n" + _KEYED.replace("FROM base", "FROM (SELECT *, CAST(id AS BIGINT) AS doc_id FROM posts)"),
+             """SELECT id, fetched_at, CASE WHEN trim(coalesce(kid, '')) <> '' THEN 'id:' || kid
+    WHEN trim(coalesce(klink, '')) <> '' THEN 'permalink:' || trim(klink)
+    WHEN coalesce(kurl, '') <> '' THEN 'url:' || kurl
+    ELSE 'ts:' || CAST(created_utc AS VARCHAR) || ':sr:' || subreddit || ':a:' || author END
+    AS live_key FROM keyed"""),
+)
+def live_key_versions(spark, sf):
+    return live_keys(V.posts(spark, sf))
 
 
 @query(

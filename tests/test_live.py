@@ -99,6 +99,18 @@ def test_backfill_of_all_and_of_some(posts):
     assert sorted(r["score"] for r in ingest.backfill_top(rows, ["all"], 2).collect()) == [10, 11]
 
 
+def test_backfill_takes_the_version_fetched_last(posts):
+    one = {"subreddit": "a", "created_utc": 5}
+    rows = posts(
+        {**one, "id": "x", "score": 9, "fetched_at": 1}, {**one, "id": "x", "score": 2, "fetched_at": 8}, {**one, "id": "x", "score": 4},
+        {**one, "id": "y", "score": 5, "fetched_at": 3}, {**one, "id": "z", "score": 1, "fetched_at": 3}, {**one, "score": 3}, {**one, "score": 4},
+    )
+    for subs in (["a"], ["all"], ["all", "a"]):
+        for n in (2, 4, 9):
+            got = sorted(((r["id"], r["score"]) for r in ingest.backfill_top(rows, subs, n).collect()), key=lambda r: -r[1])
+            assert got == [("y", 5), (None, 4), (None, 3), ("x", 2), ("z", 1)][:n]
+
+
 def test_stamp(spark):
     df = spark.createDataFrame([(5,), (None,)], "created_utc long")
     got = ingest.stamp_fetched(df, 9).collect()
