@@ -16,6 +16,6 @@ def query(name, sql=None):
 
 def load():
     """Import all modules that register queries."""
-    from chatterscope.llm import queries  # noqa: F401
+    from chatterscope.llm import queries, queries_more  # noqa: F401
 
     return QUERIES, ORACLE
