@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from chatterscope.llm.common import table
 from chatterscope.llm.conversations import damaged, repaired, summaries
+from chatterscope.llm.debruijn import substring_dedup
 from chatterscope.llm.hard_negatives import hard_negatives
 from chatterscope.llm.registry import query
 
@@ -111,3 +112,27 @@ FROM ids JOIN won USING (id) LEFT JOIN sums USING (id) LEFT JOIN texts USING (id
 @query("op12_conversation_repair", OP12_SQL)
 def op12_conversation_repair(spark, sf):
     return summaries(repaired(damaged(table(spark, sf, "conversations"))))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+k AS (
+  SELECT r, i, array_to_string(w[i:i + 34], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+twice AS (SELECT g FROM k GROUP BY g HAVING count(*) > 1),
+gone AS (
+  SELECT r, list(DISTINCT p) AS ps FROM (SELECT r, unnest(range(i, i + 35)) AS p FROM k SEMI JOIN twice USING (g)) GROUP BY r),
+m AS (
+  SELECT doc_id, w, coalesce(len(ps), 0) AS n,
+    CASE WHEN ps IS NULL THEN w ELSE list_where(w, list_transform(range(1, len(w) + 1), lambda i: NOT map_contains(h, i))) END AS stay
+  FROM (SELECT d.*, ps, map_from_entries(list_transform(ps, lambda p: {'k': p, 'v': 1})) AS h FROM d LEFT JOIN gone USING (r)))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_removed, sha256(array_to_string(stay, ' ')) AS kept_sha256
+FROM m
+"""
+
+
+@query("op11_substring_dedup", OP11_SQL)
+def op11_substring_dedup(spark, sf):
+    cut = substring_dedup(table(spark, sf, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
