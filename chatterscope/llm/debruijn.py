@@ -285,21 +285,18 @@ def _spots(places, length):
 
 
 def _sizes_hashed(words, start, size):
-    """Hashes of runs of words; a long text is taken in pieces of which each holds whole runs."""
-    out = np.zeros(len(start), np.uint64)
-    if len(words) < len(UP):
-        return mixed(_hashes(_sums(words), start, size) + size.astype(np.uint64))
-    for a in range(0, len(words), CHUNK // 2):
-        mine = np.nonzero((start >= a) & (start < a + CHUNK // 2))[0]
-        short = mine[start[mine] + size[mine] <= a + CHUNK]
-        out[short] = mixed(_hashes(_sums(words[a : a + CHUNK]), start[short] - a, size[short]) + size[short].astype(np.uint64))
-        for i in np.setdiff1d(mine, short).tolist():  # a path of over half a million words
-            h = np.uint64(0)
-            for b in range(0, int(size[i]), CHUNK):
-                piece = words[start[i] + b : start[i] + min(b + CHUNK, int(size[i]))]
-                h = mixed(np.array([h + _sums(piece)[-1]], np.uint64))[0]
-            out[i] = mixed(np.array([h + np.uint64(size[i])], np.uint64))[0]
-    return out
+    """Hashes of runs of words, which depend on the words alone; memory stays bounded for long texts and runs."""
+    out, half = np.zeros(len(start), np.uint64), CHUNK // 2
+    for a in range(0, len(words), half):
+        mine = np.nonzero((start >= a) & (start < a + half) & (size <= half))[0]
+        if len(mine):
+            out[mine] = _hashes(_sums(words[a : a + CHUNK]), start[mine] - a, size[mine])
+    for i in np.nonzero(size > half)[0].tolist():
+        h = np.zeros(1, np.uint64)
+        for b in range(int(start[i]), int(start[i] + size[i]), half):
+            h = mixed(h + _sums(words[b : min(b + half, int(start[i] + size[i]))])[-1:])
+        out[i] = h[0]
+    return mixed(out + size.astype(np.uint64))
 
 
 def _items(docs, places, buckets, length):
