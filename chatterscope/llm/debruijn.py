@@ -261,9 +261,14 @@ def _places(found, steps):
     """doc, mark, places: what is to be verified in a document. glued: the path goes on from the place before."""
     links = chains(steps).alias("c")
     on = (F.col("s.before") == F.col("c.a")) & (F.col("s.whole") == F.col("c.b"))
-    paths = steps.alias("s").join(links, on, "left").select(
-        "s.doc", "s.mark", F.struct(F.lit(STEP).alias("kind"), "s.start", "s.n", F.col("c.a").isNotNull().alias("glued")).alias("place")
-    )
+
+    def place(glued):
+        return F.struct(F.lit(STEP).alias("kind"), "s.start", "s.n", glued.alias("glued")).alias("place")
+
+    # Most paths begin where no repeated run lies before; they need no partner, and their missing key would be a hot one.
+    starts = steps.alias("s").where("before IS NULL").select("s.doc", "s.mark", place(F.lit(False)))
+    goes_on = steps.alias("s").where("before IS NOT NULL").join(links, on, "left")
+    paths = starts.unionByName(goes_on.select("s.doc", "s.mark", place(F.col("c.a").isNotNull())))
     noted = found.where(F.col("kind") == NOTED).select(
         "doc", "mark", F.struct(F.col("kind"), "start", "n", F.lit(False).alias("glued")).alias("place")
     )
