@@ -13,17 +13,23 @@ MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 << 20
 
 
-def join_method(terms):
-    """Join hint for a table of terms, by its measured size: copy it, or else shuffle both sides.
+def is_small(terms):
+    """Whether a table of terms may be copied to every executor, by its measured rows and bytes.
 
-    Without a hint the planner may take the exploded texts for the small side. Rows and bytes are
-    summed per task, so measuring a large table is a scan and gathers nothing.
+    Both are summed per task, so measuring a large table is a scan and gathers nothing.
     """
     texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in terms.dtypes if kind == "string"]
     row_bytes = sum(texts, F.lit(16 * len(terms.columns)))
     rows, size = terms.agg(F.count(F.lit(1)), F.sum(row_bytes)).first()
-    small = rows <= MAX_BROADCAST_ROWS and (size or 0) <= MAX_BROADCAST_BYTES
-    return "broadcast" if small else "merge"
+    return rows <= MAX_BROADCAST_ROWS and (size or 0) <= MAX_BROADCAST_BYTES
+
+
+def join_method(terms):
+    """Join hint for a table of terms, by its measured size: copy it, or else shuffle both sides.
+
+    Without a hint the planner may take the exploded texts for the small side.
+    """
+    return "broadcast" if is_small(terms) else "merge"
 
 
 def literal_lookup(mapping, value_type="double"):

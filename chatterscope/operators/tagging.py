@@ -1,14 +1,37 @@
 """Which brands and events a post mentions."""
 
-from pyspark.sql import functions as F
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from chatterscope.config import config_frames
-from chatterscope.functions.lookup import MAX_LITERAL_ENTRIES, join_method, literal_lookup
+from chatterscope.functions.lookup import (
+    MAX_LITERAL_ENTRIES,
+    is_small,
+    join_method,
+    literal_lookup,
+)
+from chatterscope.functions.terms import TermIndex, text_bytes
 from chatterscope.functions.text import brand_hit, lower_contains_any
 
-# Terms are found through their first characters; longer prefixes make fewer false candidates.
-_GRAM = 4
+# In the join form terms are found through their first characters; longer prefixes make fewer false
+# candidates. So many characters travel with a candidate; longer terms are compared with the text.
+_GRAM, _SPAN = 4, 48
+
+
+class KeywordTables(NamedTuple):
+    """What to look for, as tables of any size instead of a configuration.
+
+    keywords: position, canonical, keyword; events: position, event; hints: subreddit, canonical,
+    position. Positions give the order in which names are reported.
+    """
+
+    keywords: DataFrame
+    events: DataFrame | None = None
+    hints: DataFrame | None = None
 
 
 def substring_join(left, key, text, terms, term):
@@ -17,7 +40,8 @@ def substring_join(left, key, text, terms, term):
     An equi-join instead of a nested loop: every place of the text offers its first characters as
     a join key, and the few candidates are checked against the following characters, which travel
     with the key. Both sides may be large, and frequent keys can be split by adaptive execution.
-    `terms` must be lowercase and non-empty; returns key, and all columns of `terms`, distinct.
+    `terms` must be lowercase and non-empty; returns key, and all columns of `terms`, distinct. Rows
+    of one key must have one text.
     """
     sizes = terms.agg(
         F.max(F.length(term)).alias("longest"),
@@ -30,7 +54,7 @@ def substring_join(left, key, text, terms, term):
 
     # A look-ahead matches at every place without consuming anything, so this is one pass over the
     # text. Halves of surrogate pairs are no places.
-    span = rf"(?s)(?=([^\x{{D800}}-\x{{DFFF}}].{{0,{longest - 1}}}))"
+    span = rf"(?s)(?=([^\x{{D800}}-\x{{DFFF}}].{{0,{min(longest, _SPAN) - 1}}}))"
     places = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(span), F.lit(1)))
     spans = left.select(F.col(key), F.explode(places).alias("_span"))
     grams = spans.select(
@@ -47,9 +71,65 @@ def substring_join(left, key, text, terms, term):
     same = (
         (F.col("_gram") == F.col("_term_gram"))
         & (F.col("_size") == F.col("_term_size"))
-        & F.startswith(F.col("_span"), F.col(term))
+        & F.startswith(F.col("_span"), F.left(F.col(term), F.lit(_SPAN)))
+    )
+    pairs = grams.join(known.hint(join_method(terms)), same).select(key, *terms.columns).distinct()
+    if longest <= _SPAN:
+        return pairs
+    whole = left.select(F.col(key).alias("_key"), F.lower(text).alias("_whole"))
+    long = pairs.where(F.length(term) > _SPAN).join(whole, F.col(key) == F.col("_key"))
+    long = long.where(F.contains("_whole", F.col(term))).select(*pairs.columns).distinct()
+    return pairs.where(F.length(term) <= _SPAN).unionByName(long)
+
+
+def _found_by_index(df, name, terms, value, text):
+    """By an index of all terms at every executor, in one pass over each batch of texts."""
+    held = terms.orderBy("position", value, "term").toArrow()  # measured: see is_small
+    position, names = held.column("position").to_pylist(), held.column(value).to_pylist()
+    order = {pair: i for i, pair in enumerate(sorted(set(zip(position, names))))}
+    ranks = np.array([order[pair] for pair in zip(position, names)], np.int64)
+    values = pa.array([n for _, n in order], pa.string())
+    index = TermIndex(held.column("term").to_pylist())
+    shared = df.sparkSession.sparkContext.broadcast((index, ranks, values))
+
+    @F.arrow_udf("array<string>")
+    def lookup(texts: pa.Array) -> pa.Array:
+        index, ranks, values = shared.value
+        row, term = index.find(*text_bytes(texts))
+        pairs = np.unique((row << 32) | ranks[term])
+        ends = np.searchsorted(pairs >> 32, np.arange(len(texts) + 1))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values.take(pa.array(pairs & 0xFFFFFFFF)))
+
+    return df.withColumn(name, F.array_distinct(lookup(F.lower(F.coalesce(F.col(text), F.lit(""))))))
+
+
+def _found_by_join(df, name, terms, value, text):
+    """By a join; rows meet their names again by a mark of the text, so ids do not matter."""
+    marked = df.withColumn("_mark", F.md5(F.lower(F.coalesce(F.col(text), F.lit("")))))
+    pairs = substring_join(marked.select("_mark", text), "_mark", text, terms, "term")
+    found = pairs.groupBy(F.col("_mark").alias("_key")).agg(
+        F.array_sort(F.collect_set(F.struct("position", value))).alias("_found")
     )
-    return grams.join(known.hint(join_method(terms)), same).select(key, *terms.columns).distinct()
+    names = F.coalesce(F.array_distinct(F.col(f"_found.{value}")), F.array().cast("array<string>"))
+    joined = marked.join(found, F.col("_mark") == F.col("_key"), "left").withColumn(name, names)
+    return joined.drop("_mark", "_key", "_found")
+
+
+def found_terms(df, name, terms, term, value, text="text", method=None):
+    """Add `name`: the values of the rows of `terms` (position, term, value) whose term is in the text.
+
+    Case does not matter; empty terms and null texts match nothing. Values come in order of position,
+    each once. A row of df gives a row, whatever its id. Tables that are measured as small (see
+    `is_small`) become an index that is copied to the executors, which also works on streams; on
+    batches, larger ones are joined. `method` (index, join) decides instead.
+    """
+    known = terms.select("position", F.col(value), F.lower(term).alias("term"))
+    known = known.where(F.col("term") != "").distinct()
+    if value == term:
+        known = known.withColumn(value, F.col("term"))
+    if method is None:
+        method = "index" if df.isStreaming or is_small(known) else "join"
+    return {"index": _found_by_index, "join": _found_by_join}[method](df, name, known, value, text)
 
 
 def subreddit_hints(brand_dim, sub_dim):
@@ -89,32 +169,30 @@ def events_in_text(lowered, cfg):
     return _found([(e, F.contains(lowered, F.lit(e))) for e in cfg.event_words])
 
 
-def match_brands(df, cfg, mode="native", key="id"):
+def match_brands(df, cfg, mode="native"):
     """Add `brands`. `native` tests every keyword in one pass, `join` uses a keyword table."""
     if mode == "native":
         text = F.lower(F.coalesce(F.col("text"), F.lit("")))
         return df.withColumn("brands", brands_in_text(text, cfg))
-    terms = config_frames(df.sparkSession, cfg)["keyword_dim"]
-    return match_terms(df, terms, key)
+    return match_terms(df, config_frames(df.sparkSession, cfg)["keyword_dim"])
 
 
-def match_terms(df, terms, key="id"):
+def match_terms(df, terms, method=None):
     """Add `brands` from a keyword table (position, canonical, keyword) of any size."""
-    pairs = substring_join(df, key, "text", terms, "keyword")
-    found = pairs.groupBy(F.col(key).alias("_key")).agg(
-        F.array_sort(F.collect_set(F.struct("position", "canonical"))).alias("_found")
-    )
-    return (
-        df.join(found, F.col(key).eqNullSafe(F.col("_key")), "left")
-        .withColumn("brands", F.array_distinct(F.col("_found.canonical")))
-        .withColumn("brands", F.coalesce("brands", F.array().cast("array<string>")))
-        .drop("_key", "_found")
-    )
+    return found_terms(df, "brands", terms, "keyword", "canonical", method=method)
+
+
+def match_events(df, cfg, mode="native"):
+    """Add `event_tags`, in the same two forms."""
+    if mode == "native":
+        text = F.lower(F.coalesce(F.col("text"), F.lit("")))
+        return df.withColumn("event_tags", events_in_text(text, cfg))
+    return match_event_terms(df, config_frames(df.sparkSession, cfg)["event_dim"])
 
 
-def match_events(df, cfg):
-    text = F.lower(F.coalesce(F.col("text"), F.lit("")))
-    return df.withColumn("event_tags", events_in_text(text, cfg))
+def match_event_terms(df, events, method=None):
+    """Add `event_tags` from a table (position, event) of any size."""
+    return found_terms(df, "event_tags", events, "event", "event", method=method)
 
 
 def add_hints(df, hints):
@@ -141,9 +219,16 @@ def add_hints(df, hints):
     )
 
 
-def tag_posts(df, cfg):
-    """Add `brands` and `event_tags` to each post, row by row."""
-    return add_hints(match_events(match_brands(df, cfg), cfg), hints_of(cfg))
+def tag_posts(df, cfg=None, tables=None):
+    """Add `brands` and `event_tags` to each post: from a configuration, or from KeywordTables."""
+    if tables is None:
+        return add_hints(match_events(match_brands(df, cfg), cfg), hints_of(cfg))
+    tagged = match_terms(df, tables.keywords)
+    if tables.events is None:
+        tagged = tagged.withColumn("event_tags", F.array().cast("array<string>"))
+    else:
+        tagged = match_event_terms(tagged, tables.events)
+    return tagged if tables.hints is None else add_hints(tagged, tables.hints)
 
 
 def has_brand(df):

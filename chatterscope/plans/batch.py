@@ -19,34 +19,34 @@ from chatterscope.sources.tables import read_posts_table
 _HEAVY = ("text", "url", "author", "event_tags")
 
 
-def tagged_posts(posts, cfg, year=None):
+def tagged_posts(posts, cfg, year=None, tables=None):
     """Unique posts with at least one brand, with `brands` and `event_tags`.
 
     Tagging looks at one row at a time, so it is done before the dedupe: posts without a brand still
     compete there, because they may be the newest version of their id, but leave their text behind.
     """
-    tagged = tag_posts(clean_posts(filter_year(posts, year)), cfg)
+    tagged = tag_posts(clean_posts(filter_year(posts, year)), cfg, tables)
     tagged = tagged.withColumn("text_hash", F.xxhash64("text"))
     mentioned = F.size("brands") > 0
     light = tagged.withColumns({c: F.when(mentioned, F.col(c)) for c in _HEAVY})
     return has_brand(dedupe_posts(light)).drop("text_hash")
 
 
-def scored_posts(posts, cfg, lexicon, year=None, rules=None, scorer=None):
+def scored_posts(posts, cfg, lexicon, year=None, rules=None, scorer=None, tables=None):
     """One row per post and brand, with sentiment. Each post is scored once."""
-    scored = score_posts(tagged_posts(posts, cfg, year), lexicon, rules, scorer)
+    scored = score_posts(tagged_posts(posts, cfg, year, tables), lexicon, rules, scorer)
     return explode_brands(scored)
 
 
-def daily_from_posts(posts, cfg, lexicon, year=None, rules=None):
+def daily_from_posts(posts, cfg, lexicon, year=None, rules=None, tables=None):
     """Daily aggregates straight from posts, when the other tables are not needed.
 
     Texts are tagged and scored where they are read, and never shuffled.
     """
     small = lexicon_dict(lexicon)
     if small is None:
-        return daily_aggregate(scored_posts(posts, cfg, lexicon, year, rules))
-    tagged = tag_posts(clean_posts(filter_year(posts, year)), cfg)
+        return daily_aggregate(scored_posts(posts, cfg, lexicon, year, rules, tables=tables))
+    tagged = tag_posts(clean_posts(filter_year(posts, year)), cfg, tables)
     score_text = F.when(F.size("brands") > 0, compound("text", small, rules))
     narrow = tagged.select(
         "id",
@@ -63,13 +63,14 @@ def daily_from_posts(posts, cfg, lexicon, year=None, rules=None):
     return daily_aggregate(explode_brands(with_labels(dedupe_posts(narrow))))
 
 
-def run_batch(spark, source, base, cfg, lexicon, year=None, rules=None, scorer=None):
+def run_batch(spark, source, base, cfg, lexicon, year=None, rules=None, scorer=None, tables=None):
     """Write the three tables. The aggregates are built from the written posts, not from the input,
     so the input is read, tagged and scored once, and lost executors cost no more than their tasks.
+    Brands and events come from `cfg`, or from keyword `tables`.
     """
     pin_utc(spark)
     posts = source if not isinstance(source, str) else read_posts(spark, source)
-    scored = scored_posts(posts, cfg, lexicon, year, rules, scorer)
+    scored = scored_posts(posts, cfg, lexicon, year, rules, scorer, tables)
     write_posts(scored.select(*SCORED_SCHEMA.names), base)
     written = read_posts_table(spark, base)
     write_daily(daily_aggregate(written), base)

@@ -9,14 +9,14 @@ from chatterscope.operators.scoring import score_posts
 from chatterscope.operators.tagging import explode_brands, tag_posts
 
 
-def score_stream(posts, lexicon, rules=None, scorer=None, cfg=None):
-    """Time and sentiment of streamed posts. With `cfg`, brands are tagged; by default the brand
-    that the producer noted is kept.
+def score_stream(posts, lexicon, rules=None, scorer=None, cfg=None, tables=None):
+    """Time and sentiment of streamed posts. With `cfg` or keyword `tables`, brands are tagged; by default
+    the brand that the producer noted is kept.
     """
     dated = posts.withColumn("event_ts", event_ts("created_utc"))
-    if cfg is None:
+    if cfg is None and tables is None:
         return score_posts(dated, lexicon, rules, scorer)
-    return explode_brands(score_posts(tag_posts(dated, cfg), lexicon, rules, scorer))
+    return explode_brands(score_posts(tag_posts(dated, cfg, tables), lexicon, rules, scorer))
 
 
 def windowed_sentiment(scored, window="1 minute", delay="2 minutes"):

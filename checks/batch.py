@@ -78,6 +78,51 @@ def match_events(spark, sf):
     return tagged.select("id", joined("event_tags").alias("tags"))
 
 
+@query("j2_match_events_join", O.select(O.TAGGED, "SELECT id, tags FROM found"))
+def match_events_join(spark, sf):
+    narrow = unique(spark, sf).select("id", "text")
+    tagged = tagging.match_events(narrow, V.CONFIG, mode="join")
+    return tagged.select("id", joined("event_tags").alias("tags"))
+
+
+@query("j1_match_brands_shuffled", O.select(O.TAGGED, f"SELECT id, {_BRANDS} FROM found"))
+def match_brands_shuffled(spark, sf):
+    """The form for keyword tables that are too large to be copied."""
+    terms = config_frames(spark, V.CONFIG)["keyword_dim"]
+    tagged = tagging.match_terms(unique(spark, sf).select("id", "text"), terms, method="join")
+    return tagged.select("id", joined("brands").alias("brands"))
+
+
+@query(
+    "j1_document_keywords",
+    O.select(O.POSTS + """,
+    words AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{11,}')) AS word FROM documents),
+    known AS (SELECT word FROM words GROUP BY word HAVING count(*) >= 2),
+    hits AS (SELECT p.id, p.fetched_at, k.word FROM posts p JOIN known k ON contains(lower(p.text), k.word)),
+    brands AS (SELECT left(word, 2) AS brand, count(DISTINCT (id, fetched_at)) AS posts FROM hits GROUP BY 1)""",
+             "SELECT brand, posts FROM brands"),
+)
+def document_keywords(spark, sf):
+    """Thousands of keywords: the long words that several documents have, by their first two letters."""
+    words = V.table(spark, sf, "documents").select(
+        "doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{11,}"), F.lit(0))).alias("keyword")
+    )
+    known = words.distinct().groupBy("keyword").count().where("count >= 2")
+    terms = known.select(F.crc32(F.left("keyword", F.lit(2)).cast("binary")).alias("position"),
+                         F.left("keyword", F.lit(2)).alias("canonical"), "keyword")
+    tagged = tagging.match_terms(V.posts(spark, sf).select("text"), terms)
+    return tagged.select(F.explode("brands").alias("brand")).groupBy("brand").agg(F.count(F.lit(1)).alias("posts"))
+
+
+@query("j4_tag_posts_tables", O.select(O.TAGGED, f"SELECT id, {_ALL_BRANDS}, tags FROM found"))
+def tag_posts_tables(spark, sf):
+    dims = config_frames(spark, V.CONFIG)
+    hints = tagging.subreddit_hints(dims["brand_dim"], dims["subreddit_dim"])
+    tables = tagging.KeywordTables(dims["keyword_dim"], dims["event_dim"], hints)
+    tagged = tagging.tag_posts(unique(spark, sf), tables=tables)
+    return tagged.select("id", joined("brands").alias("brands"), joined("event_tags").alias("tags"))
+
+
 @query(
     "j3_subreddit_hints",
     """WITH subs AS (SELECT DISTINCT lower(source) AS subreddit FROM documents)

@@ -47,10 +47,41 @@ def test_brands_in_both_modes(rows):
 def test_join_mode_without_broadcast(rows, monkeypatch):
     monkeypatch.setattr("chatterscope.functions.lookup.MAX_BROADCAST_ROWS", 1)
     assert _by_id(tagging.match_brands(rows, CFG, mode="join"), "brands") == BRANDS
+    assert _by_id(tagging.match_events(rows, CFG, mode="join"), "event_tags") == EVENTS
 
 
 def test_events_need_no_brand(rows):
     assert _by_id(tagging.match_events(rows, CFG), "event_tags") == EVENTS
+    assert _by_id(tagging.match_events(rows, CFG, mode="join"), "event_tags") == EVENTS
+
+
+@pytest.mark.parametrize("method", ["index", "join"])
+def test_tables_with_null_and_repeated_ids(spark, method):
+    terms = spark.createDataFrame(
+        [(2, "b", "Oning"), (1, "a", "mentre"), (1, "a", "men"), (3, "b", "é\u00df"), (4, "c", ""), (5, "long", "x" * 60)],
+        "position int, canonical string, keyword string")
+    texts = ["oning", "mentre", None, "", "oning MENTRE", "ÉSS éß", "x" * 59, "x" * 61 + "oning", "oning"]
+    for ids in ([None] * len(texts), ["7"] * len(texts), ["1", None] * 5):
+        rows = spark.createDataFrame([(i, n, t) for n, (i, t) in enumerate(zip(ids, texts))], "id string, n int, text string")
+        got = {r["n"]: r["brands"] for r in tagging.match_terms(rows, terms, method=method).collect()}
+        assert got == {0: ["b"], 1: ["a"], 2: [], 3: [], 4: ["a", "b"], 5: ["b"], 6: [], 7: ["b", "long"], 8: ["b"]}
+
+
+@pytest.mark.parametrize("method", ["index", "join"])
+def test_empty_tables(spark, rows, method):
+    none = spark.createDataFrame([], "position int, canonical string, keyword string")
+    assert _by_id(tagging.match_terms(rows, none, method=method), "brands") == [[]] * 8
+    blank = spark.createDataFrame([(1, "a", ""), (2, "b", None)], "position int, canonical string, keyword string")
+    assert _by_id(tagging.match_terms(rows, blank, method=method), "brands") == [[]] * 8
+
+
+def test_posts_tagged_from_tables(spark, rows):
+    dims = config_frames(spark, CFG)
+    hints = tagging.subreddit_hints(dims["brand_dim"], dims["subreddit_dim"])
+    tagged = tagging.tag_posts(rows, tables=tagging.KeywordTables(dims["keyword_dim"], dims["event_dim"], hints))
+    assert _by_id(tagged, "brands") == HINTED and _by_id(tagged, "event_tags") == EVENTS
+    bare = tagging.tag_posts(rows, tables=tagging.KeywordTables(dims["keyword_dim"]))
+    assert _by_id(bare, "brands") == BRANDS and _by_id(bare, "event_tags") == [[]] * 8
 
 
 def test_hints_as_dict_and_as_table(spark, rows):
