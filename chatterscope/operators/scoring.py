@@ -26,7 +26,7 @@ from chatterscope.functions.sentiment import (
     sentiment_label,
     toward,
 )
-from chatterscope.functions.text import strip_ws
+from chatterscope.functions.text import provider_label, strip_ws
 
 
 def one_per_token(lexicon):
@@ -200,3 +200,21 @@ def with_provider(df, provider, lexicon, rules=None, response="response", text="
             "raw": F.when(answered, strip_ws(response)).otherwise(nothing),
         }
     ).drop("_parsed")
+
+
+def live_rows(df, provider, lexicon, rules=None, response="response", text="text"):
+    """Rows of the live view, with the same columns for both providers: sent_provider, compound, relevancy,
+    gemini_raw and gemini_explanation (nulls where the lexicon scored).
+    """
+    scored = with_provider(df, provider, lexicon, rules, response, text)
+    remote = provider == "gemini"
+    nothing = F.lit(None).cast("string")
+    scored = scored.withColumns(
+        {
+            "sent_provider": provider_label(provider),
+            "relevancy": F.col("relevancy") if remote else F.lit(None).cast("double"),
+            "gemini_raw": F.col("raw") if remote else nothing,
+            "gemini_explanation": F.col("explanation") if remote else nothing,
+        }
+    )
+    return scored.drop("raw", "explanation") if remote else scored

@@ -2,7 +2,7 @@
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from chatterscope.functions.text import contains_any
 from chatterscope.operators.live import (
@@ -16,12 +16,13 @@ from chatterscope.operators.live import (
     with_live_key,
 )
 from chatterscope.operators.scoring import with_provider
+from chatterscope.operators.seen import SeenKeys
 
 
 class Tick(NamedTuple):
     posts: DataFrame
     point: DataFrame
-    seen: DataFrame
+    seen: DataFrame | SeenKeys
     waterline: DataFrame
     scored: DataFrame
 
@@ -47,10 +48,17 @@ def live_tick(
 ):
     """A tick over the rows in `new`: `seen` holds the live_keys of earlier ticks.
 
-    All parts use the scored rows, which are persisted; unpersist `scored` when the tick is done.
+    As a frame, `seen` grows by a union with each tick, which is for a few ticks; as SeenKeys it is stored, and plans do not grow. All
+    parts use the scored rows, which are persisted; unpersist `scored` when the tick is done.
     """
     scored = scored_matches(new, epoch, keywords, lexicon, provider, rules).persist()
     raw = relevant(scored, provider, threshold)
-    posts = unseen(keep_last(with_live_key(raw)), seen)
-    point = live_point(posts, now, provider)
-    return Tick(posts, point, add_seen(seen, posts), waterline(raw), scored)
+    last = keep_last(with_live_key(raw))
+    if isinstance(seen, SeenKeys):
+        at = last.sparkSession.range(1).select(F.lit(now).cast("timestamp").cast("double")).first()[0]
+        posts = seen.unseen(last, at)
+        after = seen.added(posts, at)
+    else:
+        posts = unseen(last, seen)
+        after = add_seen(seen, posts)
+    return Tick(posts, live_point(posts, now, provider), after, waterline(raw), scored)

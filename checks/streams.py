@@ -1,5 +1,8 @@
 """Checks of streaming queries: each runs over files of the given tables until they are used up."""
 
+import itertools
+import time
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType, TimestampType
 
@@ -15,7 +18,7 @@ from chatterscope.sinks.files import start_ndjson_sink
 from chatterscope.sources.posts import read_posts, read_posts_stream
 from chatterscope.streaming.dedupe import dedupe_stream
 from chatterscope.streaming.ingest import start_ingest
-from chatterscope.streaming.live import read_points, start_live
+from chatterscope.streaming.live import read_points, read_ticks, start_live
 from chatterscope.streaming.windows import (
     latest_updates,
     score_stream,
@@ -257,9 +260,140 @@ def live_stream(spark, sf):
     run(
         start_live(
             read_posts_stream(spark, folder), points, scratch_path(spark, "checkpoint"),
-            ["oning", "thble"], V.LEXICON, track_start=1, backfill_minutes=0, delay="90 days",
+            ["oning", "thble"], V.LEXICON, track_start=1, backfill_minutes=100_000, delay="90 days",
             rules=V.RULES, clock=lambda: V.NOW, once=True,
         )
     )
     point = read_points(spark, points)
     return point.select("ts", "mentions", F.round("avg_compound", 8).alias("avg_compound"), "provider")
+
+
+_CLOCKS = (1705500000, 1707000000, 1707500000)
+_MATCH = "(contains(lower(text), 'oning') OR contains(lower(text), 'thble'))"
+
+
+def _portions(posts):
+    at = F.col("fetched_at")
+    return posts.where(at < _CLOCKS[0]), posts.where((at >= _CLOCKS[0]) & (at < _CLOCKS[1])), posts.where(at >= _CLOCKS[1])
+
+
+def _live_run(spark, source, points, checkpoint, clock, **more):
+    options = {"track_start": 1704067200, "backfill_minutes": 14_400, "delay": "90 days", "rules": V.RULES, "once": True, **more}
+    run(start_live(read_posts_stream(spark, source), points, checkpoint, ["oning", "thble"], V.LEXICON, clock=lambda: clock, **options))
+
+
+_TICKS = O.POSTS + f""",
+hits AS (SELECT id, fetched_at FROM posts WHERE {_MATCH}),
+one AS (SELECT 1705500000 - 864000 AS since, id, fetched_at FROM hits
+  WHERE fetched_at < 1705500000 AND fetched_at >= 1705500000 - 864000),
+w1 AS (SELECT max(fetched_at) AS w FROM one),
+two AS (SELECT greatest(w, 1707000000 - 864000) AS since, id, fetched_at FROM hits, w1
+  WHERE fetched_at >= 1705500000 AND fetched_at < 1707000000 AND fetched_at >= greatest(w, 1707000000 - 864000)),
+w2 AS (SELECT greatest(w, (SELECT max(fetched_at) FROM two)) AS w FROM w1),
+three AS (SELECT greatest(w, 1707500000 - 864000) AS since, id, fetched_at FROM hits, w2
+  WHERE fetched_at >= 1707000000 AND fetched_at >= greatest(w, 1707500000 - 864000)),
+all_ticks AS (
+  SELECT 0 AS tick, * FROM one UNION ALL SELECT 1, * FROM two UNION ALL SELECT 2, * FROM three),
+first AS (SELECT id, min(tick) AS tick FROM all_ticks GROUP BY id),
+per_tick AS (SELECT CAST(tick AS BIGINT) AS tick, CAST(max(since) AS DOUBLE) AS since,
+  CAST(max(least(fetched_at, 1707500000)) AS DOUBLE) AS waterline, count(*) AS gathered FROM all_ticks GROUP BY tick),
+new AS (SELECT tick, count(*) AS mentions FROM first GROUP BY tick)"""
+
+
+@query(
+    "t7_backfill_window_live",
+    O.select(_TICKS, "SELECT p.tick, since, waterline, gathered, mentions FROM per_tick p JOIN new USING (tick)"),
+)
+def backfill_window_live(spark, sf):
+    """Three runs on one checkpoint: the window binds in the first two ticks, the waterline in the third."""
+    source, points, checkpoint = (scratch_path(spark, n) for n in ("windowed", "points", "checkpoint"))
+    for portion, clock in zip(_portions(V.posts(spark, sf).select(*POST_SCHEMA.names)), _CLOCKS):
+        portion.write.mode("append").option("ignoreNullFields", "false").json(source)
+        _live_run(spark, source, points, checkpoint, clock)
+    return read_ticks(spark, checkpoint).select("tick", "since", "waterline", "gathered", "mentions")
+
+
+@query(
+    "t6_live_restart",
+    O.select(O.POSTS, f"""SELECT count(DISTINCT id) FILTER (fetched_at < {_CLOCKS[0]}) AS before,
+    count(DISTINCT id) - count(DISTINCT id) FILTER (fetched_at < {_CLOCKS[0]}) AS after FROM posts WHERE {_MATCH}"""),
+)
+def live_restart(spark, sf):
+    """A second run on the checkpoint gets all posts again and counts only those that the first one had not."""
+    source, points, checkpoint = (scratch_path(spark, n) for n in ("restarted", "points", "checkpoint"))
+    posts = V.posts(spark, sf).select(*POST_SCHEMA.names)
+    for portion, clock in ((posts.where(F.col("fetched_at") < _CLOCKS[0]), 1704067200), (posts, 1704067201)):
+        portion.write.mode("append").option("ignoreNullFields", "false").json(source)
+        _live_run(spark, source, points, checkpoint, clock, track_start=1)
+    ticks = read_ticks(spark, checkpoint)
+    return ticks.agg(
+        F.sum(F.when(F.col("tick") == 0, F.col("mentions"))).alias("before"),
+        F.sum(F.when(F.col("tick") == 1, F.col("mentions"))).alias("after"),
+    )
+
+
+@query(
+    "t8_live_idle",
+    O.select(O.POSTS, f"""SELECT * FROM (SELECT count(DISTINCT id) AS mentions, false AS idle FROM posts
+      WHERE {_MATCH} AND fetched_at < {_CLOCKS[0]}
+    UNION ALL SELECT 0, true
+    UNION ALL SELECT count(DISTINCT id), false FROM posts p WHERE {_MATCH} AND fetched_at >= {_CLOCKS[0]} AND
+      NOT EXISTS (SELECT 1 FROM posts q WHERE q.id = p.id AND q.fetched_at < {_CLOCKS[0]})) WHERE mentions > 0 OR idle"""),
+)
+def live_idle(spark, sf):
+    """A running view that gets posts, then none, then posts again: points of zeros stand in between."""
+    source, points, checkpoint = (scratch_path(spark, n) for n in ("idling", "points", "checkpoint"))
+    posts = V.posts(spark, sf).select(*POST_SCHEMA.names)
+    early = F.col("fetched_at") < _CLOCKS[0]
+    posts.where(early).write.option("ignoreNullFields", "false").json(source)
+    clock = itertools.count(1704067200)
+    view = start_live(
+        read_posts_stream(spark, source), points, checkpoint, ["oning", "thble"], V.LEXICON, track_start=1, backfill_minutes=14_400,
+        delay="90 days", rules=V.RULES, trigger="1 second", include_idle=True, clock=lambda: next(clock),
+    )
+
+    def wait_for(condition):
+        """Until some tick after the ones seen so far fulfils the condition."""
+        while view.isActive:
+            if view.lastProgress and view.lastProgress.batchId > wait_for.tick:
+                done = read_ticks(spark, checkpoint).where(F.col("tick") > wait_for.tick).where(condition)
+                last = done.agg(F.max("tick")).first()[0]
+                if last is not None:
+                    wait_for.tick = last
+                    return
+            time.sleep(0.2)
+        raise RuntimeError(str(view.exception()))
+
+    wait_for.tick = -1
+    try:
+        wait_for("gathered > 0")
+        wait_for("gathered = 0")
+        posts.where(~early).write.mode("append").option("ignoreNullFields", "false").json(source)
+        wait_for("gathered > 0")
+    finally:
+        view.stop()
+    found = read_points(spark, points).select("mentions", (F.col("mentions") == 0).alias("idle"))
+    # How many idle ticks there were depends on the time that ticks took.
+    return found.where("NOT idle").unionByName(found.where("idle").distinct())
+
+
+@query(
+    "f9_live_dropped",
+    O.select(O.POSTS, f"""SELECT count(*) FILTER (CAST(id AS BIGINT) % 100 >= 50) AS gathered,
+    count(*) FILTER (CAST(id AS BIGINT) % 100 < 50) AS dropped,
+    count(DISTINCT id) FILTER (CAST(id AS BIGINT) % 100 >= 50) AS mentions FROM posts WHERE {_MATCH}"""),
+)
+def live_dropped(spark, sf):
+    """Rated posts through the running view; each tick counts what it dropped."""
+    source, points, checkpoint = (scratch_path(spark, n) for n in ("rated", "points", "checkpoint"))
+    rating = F.format_string('{"compound": 0.5, "relevancy": %.2f}', (F.col("id").cast("long") % 100) / 100)
+    V.posts(spark, sf).withColumn("response", rating).write.parquet(source)
+    posts = spark.read.parquet(source)
+    stream = spark.readStream.schema(posts.schema).parquet(source)
+    run(
+        start_live(
+            stream, points, checkpoint, ["oning", "thble"], V.LEXICON, provider="gemini", track_start=1, backfill_minutes=100_000,
+            delay="90 days", clock=lambda: V.NOW, once=True,
+        )
+    )
+    return read_ticks(spark, checkpoint).select("gathered", "dropped", "mentions")

@@ -10,7 +10,7 @@ from chatterscope.sinks.files import start_ndjson_sink
 from chatterscope.sources.posts import read_posts, read_posts_stream
 from chatterscope.streaming.dedupe import dedupe_stream
 from chatterscope.streaming.ingest import start_ingest
-from chatterscope.streaming.live import read_points, start_live
+from chatterscope.streaming.live import read_points, read_ticks, start_live
 from chatterscope.streaming.windows import (
     latest_updates,
     score_stream,
@@ -123,11 +123,11 @@ def test_ingest_and_live_take_late_posts(spark, tmp_path):
     total = 0
     for i, at in enumerate((4_102_444_800, T0, T0 - 900_000)):
         (folders["coms"] / f"{i}.json").write_text(json.dumps({"id": str(i), "created_utc": at, "body": "a nike"}) + "\n")
-        (folders["in"] / f"{i}.json").write_text(json.dumps(_post(i, at, "a nike")) + "\n")
+        (folders["in"] / f"{i}.json").write_text(json.dumps(_post(i, at, "a nike", fetched_at=T0 + i)) + "\n")
         start_ingest(subs, coms, ["nike"], str(tmp_path / "out"), str(tmp_path / "c1"), once=True).awaitTermination()
         start_live(
             read_posts_stream(spark, str(folders["in"])), str(tmp_path / "points"), str(tmp_path / "c2"), ["nike"], LEXICON,
-            track_start=1, backfill_minutes=0, clock=lambda: T0, once=True,
+            track_start=1, backfill_minutes=2, clock=lambda: T0 + i, once=True,
         ).awaitTermination()
     assert sorted(r["id"] for r in read_posts(spark, str(tmp_path / "out")).collect()) == ["0", "1", "2"]
     assert sum(r["mentions"] for r in read_points(spark, str(tmp_path / "points")).collect()) == 3
@@ -162,6 +162,56 @@ def test_live_points(spark, feed):
     assert read_points(spark, feed.dir("points")).count() == 2
 
 
+def _view(feed, clock, **more):
+    start_live(
+        feed.stream(), feed.dir("points"), feed.dir("check"), ["nike"], LEXICON,
+        **{"track_start": T0, "clock": lambda: clock, "once": True, **more},
+    ).awaitTermination()
+    return read_ticks(feed.spark, feed.dir("check")).orderBy("tick").collect()
+
+
+def test_since_moves_with_every_tick(spark, feed):
+    """Start, then the window, then the waterline; each tick is a process of its own on the checkpoint."""
+    feed.put(_post("a", T0 - 1, "nike"), _post("b", T0, "nike"), _post("c", T0 + 5, "none"))
+    assert _view(feed, T0 + 60)[-1]["since"] == T0
+    feed.put(_post("d", T0 + 100, "nike"), _post("e", T0 + 880, "nike"), _post("f", T0 + 5000, "nike"))
+    assert _view(feed, T0 + 1000)[-1]["since"] == T0 + 880
+    feed.put(_post("g", T0 + 999, "nike"), _post("h", T0 + 1000, "nike"), _post("e", T0 + 1001, "nike"))
+    ticks = _view(feed, T0 + 1010)
+    assert [(r["since"], r["waterline"], r["gathered"], r["mentions"]) for r in ticks] == [
+        (T0, T0, 1, 1), (T0 + 880, T0 + 1000, 2, 2), (T0 + 1000, T0 + 1001, 2, 1),
+    ]
+
+
+def test_keys_are_forgotten_after_the_delay(spark, feed):
+    for at in (T0, T0 + 50, T0 + 61, T0 + 400):
+        feed.put(_post("a", at, "nike"))
+        mentions = _view(feed, at, delay="60 seconds", backfill_minutes=60)[-1]["mentions"]
+        assert mentions == (at != T0 + 50)
+
+
+def test_repeated_tick_replaces_itself(spark, feed):
+    for i in range(3):
+        feed.put(_post(i, T0 + i, "nike"), _post(i + 1, T0 + i, "nike"))
+        _view(feed, T0 + i)
+    os.remove(feed.dir("check") + "/commits/2")
+    os.remove(feed.dir("check") + "/commits/.2.crc")
+    ticks = _view(feed, T0 + 2)
+    assert [(r["tick"], r["mentions"]) for r in ticks] == [(0, 2), (1, 1), (2, 1)]
+    assert read_points(spark, feed.dir("points")).count() == 3
+
+
+def test_low_relevancy_is_counted_as_dropped(spark, tmp_path):
+    rows = [(str(i), "a nike", T0, r) for i, r in enumerate(('{"compound": 1, "relevancy": 0.9}', '{"compound": 1, "relevancy": 0.1}', None))]
+    schema = "id string, text string, fetched_at long, response string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    start_live(stream, str(tmp_path / "p"), str(tmp_path / "c"), ["nike"], LEXICON, provider="gemini", track_start=T0, clock=lambda: T0, once=True).awaitTermination()
+    tick = read_ticks(spark, str(tmp_path / "c")).first()
+    assert (tick["gathered"], tick["dropped"], tick["mentions"]) == (1, 2, 1)
+    assert read_points(spark, str(tmp_path / "p")).first()["provider"] == "g"
+
+
 def test_console_query_starts_and_stops(spark, feed):
     feed.put(_post(1, T0))
     query = start_window_query(windowed_sentiment(score_stream(feed.stream(), LEXICON)), checkpoint=feed.dir("check"))
