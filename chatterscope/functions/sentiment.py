@@ -163,8 +163,8 @@ def normalized(total, emphasis, rules):
 def compound(text, lexicon, rules=None):
     """Sentiment in [-1, 1] of a text column; null and empty texts score 0.
 
-    `lexicon` is a dict token -> valence. One pass over the words, without shuffle or Python
-    workers, so it also runs on streams.
+    `lexicon` is a dict token -> valence of up to MAX_LITERAL_ENTRIES entries, which becomes a part of the plan. One pass over the words, without
+    shuffle or Python workers, so it also runs on streams. See `functions.vocabulary` for the faster form, and for larger lexicons.
     """
     rules = rules or Rules()
     valence_of = literal_lookup(lexicon)

@@ -4,11 +4,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from chatterscope.functions.lookup import (
-    MAX_LITERAL_ENTRIES,
-    join_method,
-    literal_lookup,
-)
+from chatterscope.functions.lookup import is_small, join_method, literal_lookup
 from chatterscope.functions.responses import parse_response
 from chatterscope.functions.sentiment import (
     Rules,
@@ -17,7 +13,6 @@ from chatterscope.functions.sentiment import (
     bind,
     capital_at,
     capital_words,
-    compound,
     contrast_weight,
     event_hit,
     is_negator,
@@ -27,23 +22,29 @@ from chatterscope.functions.sentiment import (
     toward,
 )
 from chatterscope.functions.text import provider_label, strip_ws
+from chatterscope.functions.vocabulary import compound_by_vocabulary, distinct_words
 
 
 def one_per_token(lexicon):
     return lexicon.groupBy("token").agg(F.min("valence").alias("valence"))
 
 
-def lexicon_dict(lexicon):
-    """A lexicon table as a dict, or None if it is too large to travel inside a plan.
+def lexicon_dict(lexicon, words=None):
+    """A lexicon table as a dict, or None if it is measured as too large to be copied to the executors.
 
-    Of a repeated token, the least valence counts, as in `score_by_join`.
+    Of a repeated token, the least valence counts, as in `score_by_join`. `words`, a frame of one column, restricts the
+    table to some words before it is measured.
     """
     if isinstance(lexicon, dict):
-        return lexicon if len(lexicon) <= MAX_LITERAL_ENTRIES else None
-    rows = one_per_token(lexicon).limit(MAX_LITERAL_ENTRIES + 1).collect()
-    if len(rows) > MAX_LITERAL_ENTRIES:
-        return None
-    return {r["token"]: r["valence"] for r in rows}
+        return lexicon
+    table = one_per_token(lexicon)
+    if words is not None:
+        table = table.join(words.toDF("_word"), F.col("token") == F.col("_word"), "left_semi")
+    return _collected(table) if is_small(table) else None
+
+
+def _collected(table):
+    return dict(zip(*(table.toArrow().column(c).to_pylist() for c in ("token", "valence"))))
 
 
 def pandas_scorer(score_texts):
@@ -78,17 +79,17 @@ def with_labels(df):
 def score_posts(df, lexicon=None, rules=None, scorer=None, key="id", text="text"):
     """Add compound, sentiment and event_hit.
 
-    `lexicon` is a dict or a table (token, valence). A large table is joined, which needs a unique
-    `key` and a batch frame. `scorer` plugs in any function Column -> Column instead.
+    `lexicon` is a dict or a table (token, valence). The distinct words of a batch of texts are looked up once. A table that is
+    too large to be copied is joined on batches, by the unique `key`; on streams, the executors must hold
+    it. `scorer` plugs in any function Column -> Column instead.
     """
     if scorer is not None:
         return with_labels(df.withColumn("compound", scorer(F.col(text))))
-    small = lexicon_dict(lexicon)
-    if small is not None:
-        return with_labels(df.withColumn("compound", compound(text, small, rules)))
-    if df.isStreaming:
-        raise ValueError("a lexicon this large must be joined, which needs a batch frame")
-    return with_labels(score_by_join(df, lexicon, rules, key, text))
+    words = lexicon_dict(lexicon)
+    if words is None and not df.isStreaming:
+        return with_labels(score_by_join(df, lexicon, rules, key, text))
+    words = _collected(one_per_token(lexicon)) if words is None else words
+    return with_labels(df.withColumn("compound", compound_by_vocabulary(text, words, rules)))
 
 
 def word_rows(df, key, text, rules):
@@ -124,13 +125,28 @@ def word_rows(df, key, text, rules):
 def score_by_join(df, lexicon, rules=None, key="id", text="text"):
     """The same score with the lexicon as a joined table, for lexicons of any size.
 
+    One that is too large to be copied is joined with the distinct words of the texts first. If the words found are few enough to be
+    copied, which they mostly are, texts are scored where they lie, and `key` does not matter.
+    """
+    rules = rules or Rules()
+    if isinstance(lexicon, dict):
+        lexicon = df.sparkSession.createDataFrame(list(lexicon.items()), "token string, valence double")
+    known = lexicon_dict(lexicon)
+    if known is None:
+        known = lexicon_dict(lexicon, distinct_words(df, text))
+    if known is not None:
+        return df.withColumn("compound", compound_by_vocabulary(text, known, rules))
+    return score_by_words(df, lexicon, rules, key, text)
+
+
+def score_by_words(df, lexicon, rules=None, key="id", text="text"):
+    """The same score with a row for each word, where even the words of the texts are too many to be copied.
+
     Only words found in the lexicon survive the first join; sums are formed per task before they
     are shuffled. `key` must be unique.
     """
     rules = rules or Rules()
     degree_of = literal_lookup(rules.degrees)
-    if isinstance(lexicon, dict):
-        lexicon = df.sparkSession.createDataFrame(list(lexicon.items()), "token string, valence double")
     lexicon = one_per_token(lexicon)
     method = join_method(lexicon)
     valences = lexicon.select(F.col("token").alias("word0"), "valence").hint(method)
@@ -183,10 +199,9 @@ def with_provider(df, provider, lexicon, rules=None, response="response", text="
     With the remote provider the answer is read from the `response` column; rows without text or
     answer fall back to the lexicon score and have no relevancy.
     """
-    small = lexicon_dict(lexicon)
-    if small is None:
-        raise ValueError("a lexicon this large must be joined: see score_by_join")
-    fallback = compound(text, small, rules)
+    words = lexicon_dict(lexicon)
+    words = _collected(one_per_token(lexicon)) if words is None else words
+    fallback = compound_by_vocabulary(text, words, rules)
     nothing = F.lit(None)
     if provider != "gemini":
         return df.withColumn("compound", fallback)

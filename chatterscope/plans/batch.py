@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from chatterscope.functions.sentiment import compound
+from chatterscope.functions.vocabulary import compound_by_vocabulary
 from chatterscope.operators.aggregates import daily_aggregate
 from chatterscope.operators.clean import clean_posts, filter_year
 from chatterscope.operators.ranking import dedupe_posts, monthly_top
@@ -47,7 +47,8 @@ def daily_from_posts(posts, cfg, lexicon, year=None, rules=None, tables=None):
     if small is None:
         return daily_aggregate(scored_posts(posts, cfg, lexicon, year, rules, tables=tables))
     tagged = tag_posts(clean_posts(filter_year(posts, year)), cfg, tables)
-    score_text = F.when(F.size("brands") > 0, compound("text", small, rules))
+    # Texts without a brand are not read by the scorer.
+    score_text = compound_by_vocabulary(F.when(F.size("brands") > 0, F.col("text")), small, rules)
     narrow = tagged.select(
         "id",
         "created_utc",

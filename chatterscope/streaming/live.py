@@ -83,7 +83,7 @@ def start_live(
     """
     spark = posts.sparkSession
     expiry = spark.range(1).select(F.expr(f"CAST(timestamp_seconds(0) + INTERVAL '{delay}' AS DOUBLE)")).first()[0]
-    words = lexicon_dict(lexicon)
+    words = lexicon_dict(lexicon)  # read once, not with every tick
     words = lexicon if words is None else words
     idle = include_idle and not once
     stream = _beating(posts) if idle else posts

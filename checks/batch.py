@@ -6,6 +6,7 @@ from checks import oracle as O
 from checks import views as V
 from checks.registry import query
 from chatterscope.config import config_frames
+from chatterscope.functions import sentiment
 from chatterscope.operators import aggregates, ranking, scoring, serving, tagging
 from chatterscope.operators.clean import clean_posts
 from chatterscope.plans import batch
@@ -198,6 +199,20 @@ def compound_join(spark, sf):
     return scoring.score_by_join(narrow, lexicon, V.RULES).select("id", "compound")
 
 
+@query("x1_compound_words", _SCORES)
+def compound_words(spark, sf):
+    """A row for each word: the form for texts with too many words to be copied."""
+    lexicon = spark.createDataFrame(list(V.LEXICON.items()), "token string, valence double")
+    narrow = unique(spark, sf).select("id", "text")
+    return scoring.score_by_words(narrow, lexicon, V.RULES).select("id", "compound")
+
+
+@query("x1_compound_expression", _SCORES)
+def compound_expression(spark, sf):
+    """The form that stays in the JVM."""
+    return unique(spark, sf).select("id", sentiment.compound("text", V.LEXICON, V.RULES).alias("compound"))
+
+
 @query(
     "v1_plugged_scorer",
     "SELECT doc_id, least(length(text), 1000) / 1000e0 AS compound FROM documents",

@@ -349,7 +349,7 @@ def live_idle(spark, sf):
     clock = itertools.count(1704067200)
     view = start_live(
         read_posts_stream(spark, source), points, checkpoint, ["oning", "thble"], V.LEXICON, track_start=1, backfill_minutes=14_400,
-        delay="90 days", rules=V.RULES, trigger="1 second", include_idle=True, clock=lambda: next(clock),
+        delay="90 days", rules=V.RULES, trigger="5 seconds", include_idle=True, clock=lambda: next(clock),
     )
 
     def wait_for(condition):
@@ -370,6 +370,8 @@ def live_idle(spark, sf):
         wait_for("gathered = 0")
         posts.where(~early).write.mode("append").option("ignoreNullFields", "false").json(source)
         wait_for("gathered > 0")
+        while view.isActive and view.status["isTriggerActive"]:
+            time.sleep(0.05)  # stopped between ticks
     finally:
         view.stop()
     found = read_points(spark, points).select("mentions", (F.col("mentions") == 0).alias("idle"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from checks.plain import plain_compound
 
 from chatterscope.functions.sentiment import Rules, compound
+from chatterscope.functions.vocabulary import compound_by_vocabulary, distinct_words
 from chatterscope.operators import scoring
 from chatterscope.sources.tables import read_lexicon
 
@@ -80,6 +81,7 @@ def test_both_forms_agree_however_rows_are_spread(spark):
         scoring.score_posts(df.repartition(13), LEXICON),
         scoring.score_by_join(df, table),
         scoring.score_by_join(df.repartition(3, "text"), table),
+        scoring.score_by_words(df, table),
     ):
         assert {r["id"]: r["compound"] for r in frame.collect()} == want
 
@@ -88,17 +90,53 @@ def test_large_lexicons_are_joined(spark, monkeypatch):
     df = _texts(spark, 60)
     table = spark.createDataFrame(list(LEXICON.items()), "token string, valence double")
     want = {r["id"]: plain_compound(r["text"], LEXICON) for r in df.collect()}
-    monkeypatch.setattr(scoring, "MAX_LITERAL_ENTRIES", 3)
-    assert scoring.lexicon_dict(table) is None
     monkeypatch.setattr("chatterscope.functions.lookup.MAX_BROADCAST_ROWS", 3)
+    assert scoring.lexicon_dict(table) is None
     got = scoring.score_posts(df, table)
     assert {r["id"]: r["compound"] for r in got.collect()} == want
     assert set(got.columns) == {"id", "text", "compound", "sentiment"}
 
 
 def test_no_python_worker_and_no_shuffle(spark):
-    plan = scoring.score_posts(_texts(spark, 5), LEXICON)._jdf.queryExecution().executedPlan().toString()
+    """The expression stays in the JVM; by vocabulary, texts go through one Arrow function, and neither shuffles."""
+    df = _texts(spark, 5)
+    plan = df.select(compound("text", LEXICON))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan.split("Scan")[0] and "Exchange" not in plan
+    plan = scoring.score_posts(df, LEXICON)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(_WORDS, max_size=14).map(" ".join), min_size=20, max_size=60))
+def test_vocabulary_agrees_with_the_plain_loop(column, texts):
+    got = column(lambda c: compound_by_vocabulary(c, LEXICON), texts)
+    assert got == [plain_compound(t, LEXICON) + 0.0 for t in texts]
+
+
+def test_vocabulary_of_odd_texts(column, monkeypatch):
+    texts = [None, "", " ", "\u2003good\u00a0BAD\x1cgood\u2028x", "good" * 3, "ÉS IST good", "İ good", "...good...", ")good(", "a!b good!!!!!! ??", "x" * 5_000,
+             "Good but GOOD but bad", "isn't very very GOOD", "good\x0bnot\x85good", "very", "not", "ΑΣ good"]
+    want = column(lambda c: compound(c, LEXICON), texts)
+    assert column(lambda c: compound_by_vocabulary(c, LEXICON), texts) == want
+    monkeypatch.setattr("chatterscope.functions.vocabulary.PIECE", 10)
+    assert column(lambda c: compound_by_vocabulary(c, LEXICON), texts) == want
+    rules = Rules(degrees={"muy": 0.293}, negators=("no",), contrast="pero")
+    other = ["muy good", "no good", "good pero bad", "MUY good no bad"]
+    assert column(lambda c: compound_by_vocabulary(c, LEXICON, rules), other) == column(lambda c: compound(c, LEXICON, rules), other)
+
+
+def test_distinct_words(spark):
+    df = spark.createDataFrame([("Good good... (GOOD) :)",), (None,), ("bad\u2003ok. bad,",)], "text string")
+    assert sorted(r[0] for r in distinct_words(df).collect()) == [":)", "bad", "good", "ok."]
+
+
+def test_words_of_the_texts_decide_how_a_lexicon_is_joined(spark, monkeypatch):
+    """A lexicon that is too large to be copied, of which the texts have few words; ids are null or repeat."""
+    df = _texts(spark, 50).withColumn("id", F.when(F.col("id") > "3", "same"))
+    big = spark.createDataFrame([*LEXICON.items(), *((f"w{i}", 1.0) for i in range(300))], "token string, valence double")
+    monkeypatch.setattr("chatterscope.functions.lookup.MAX_BROADCAST_ROWS", 100)
+    got = scoring.score_posts(df, big).select("text", "compound").collect()
+    assert len(got) == df.count() and all(r["compound"] == plain_compound(r["text"], LEXICON) for r in got)
 
 
 def test_plugged_scorer(spark):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chatterscope.operators.live import last_points
+from chatterscope.operators.scoring import score_by_words
 from chatterscope.schema import COMMENT_SCHEMA, POST_SCHEMA, SUBMISSION_SCHEMA
 from chatterscope.sinks.files import start_ndjson_sink
 from chatterscope.sources.posts import read_posts, read_posts_stream
@@ -222,10 +223,22 @@ def test_console_query_starts_and_stops(spark, feed):
         query.stop()
 
 
-def test_large_lexicons_cannot_be_streamed(spark, feed, monkeypatch):
-    from chatterscope.operators import scoring
-
-    monkeypatch.setattr(scoring, "MAX_LITERAL_ENTRIES", 1)
-    table = spark.createDataFrame(list(LEXICON.items()), "token string, valence double")
-    with pytest.raises(ValueError):
-        score_stream(feed.stream(), table)
+def test_lexicons_of_any_size_can_be_streamed(spark, feed, monkeypatch):
+    """More entries than a plan can hold, and a table that is measured as too large for a batch to copy."""
+    words = {f"w{i}": 1.0 for i in range(60_000)} | LEXICON
+    feed.put(_post(1, T0, "so good"), _post(2, T0, "w59999 bad"), _post(3, T0, "w1 w2"))
+    table = spark.createDataFrame(list(words.items()), "token string, valence double")
+    for lexicon, limit in ((words, 1_000_000), (table, 1_000_000), (table, 1)):
+        monkeypatch.setattr("chatterscope.functions.lookup.MAX_BROADCAST_ROWS", limit)
+        out = f"{feed.dir('out')}{limit}{len(os.listdir(feed.root))}"
+        scored = score_stream(feed.stream(), lexicon).select("id", "compound")
+        start_window_query(scored, lambda batch, n: batch.write.mode("append").parquet(out), f"{out}-check", once=True).awaitTermination()
+        got = {r["id"]: r["compound"] for r in spark.read.parquet(out).collect()}
+        assert got == {r["id"]: r["compound"] for r in score_by_words(read_posts(spark, feed.path), table).collect()} and got["3"] > 0
+
+
+def test_live_view_with_a_large_lexicon(spark, feed):
+    feed.put(_post(1, T0, "good nike"), _post(2, T0, "w7 nike"))
+    table = spark.createDataFrame([(f"w{i}", 1.0) for i in range(60_000)], "token string, valence double")
+    start_live(feed.stream(), feed.dir("points"), feed.dir("check"), ["nike"], table, track_start=T0, clock=lambda: T0, once=True).awaitTermination()
+    assert read_points(spark, feed.dir("points")).first()["avg_compound"] == pytest.approx(0.125)
