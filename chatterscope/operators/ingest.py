@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from chatterscope.functions.text import submission_text
-from chatterscope.operators.ranking import limit_per_group
+from chatterscope.operators.ranking import chosen, fetched, limit_per_group, marked
 from chatterscope.schema import POST_SCHEMA
 
 # Fixed value: the site that relative links of raw records belong to.
@@ -72,11 +72,13 @@ def normalize_comments(df, now=None, prefix=SITE):
     )
 
 
-def _last_versions(df):
-    """One row per id, the one fetched last; rows without an id stay."""
-    ranks = {"fetched_at": "desc", "score": "desc", "created_utc": "desc", "permalink": "asc", "text": "asc"}
-    order = [getattr(F.col(c), f"{way}_nulls_last")() for c, way in ranks.items() if c in df.columns]
-    return limit_per_group(df.where(F.col("id").isNotNull()), ["id"], order, 1).unionByName(df.where(F.col("id").isNull()))
+def _last_versions(rows):
+    """One row per id, the one fetched last; rows without an id stay. rows are `marked`."""
+    ranks = {"fetched_at": "desc", "score": "desc", "created_utc": "desc", "permalink": "asc", "_m1": "asc", "_m2": "asc"}
+    order = [getattr(F.col(c), f"{way}_nulls_last")() for c, way in ranks.items() if c in rows.columns]
+    # A row without an id is a group of its own.
+    rows = rows.withColumn("_nameless", F.when(F.col("id").isNull(), F.monotonically_increasing_id()))
+    return limit_per_group(rows, ["id", "_nameless"], order, 1).drop("_nameless")
 
 
 def backfill_top(df, subs, n=200, since=None, until=None):
@@ -85,25 +87,25 @@ def backfill_top(df, subs, n=200, since=None, until=None):
     The community `all` stands for every community taken together; named ones next to it keep their own share, and a
     post that is in both is there once. Names are compared without case and outer spaces. Of the versions of an id in
     the time range, the one fetched last counts, then the one of the higher score; rows without an id are all kept.
+
+    Rows are ranked without their texts, which are fetched for the few that are left.
     """
     if since is not None:
         df = df.where(F.col("created_utc") >= since)
     if until is not None:
         df = df.where(F.col("created_utc") < until)
-    df = df.withColumn("brand", F.lit(None).cast("string"))
-    names = [s.strip().lower() for s in subs]
-    df = _last_versions(df)
-    order = [F.col("score").desc_nulls_last(), F.col("id").asc()]
-    overall = df.orderBy(*order).limit(n) if "all" in names else None
-    if names == ["all"]:
-        return overall
-    listed = df.withColumn("_community", F.lower(F.trim("subreddit"))).where(F.col("_community").isin(names))
-    listed = limit_per_group(listed, ["_community"], order, n).drop("_community")
-    if overall is None:
-        return listed
-    both = overall.unionByName(listed)
-    nameless = both.where(F.col("id").isNull()).distinct()
-    return both.where(F.col("id").isNotNull()).dropDuplicates(["id"]).unionByName(nameless)
+    names = list(dict.fromkeys(s.strip().lower() for s in subs))
+    rows = marked(df)
+    last = _last_versions(rows).withColumn("_community", F.lower(F.trim("subreddit")))
+    last = last.select("id", "score", "_community", "_m1", "_m2")
+    order = [F.col("score").desc_nulls_last(), F.col("id").asc(), F.col("_m1").asc(), F.col("_m2").asc()]
+    listed = limit_per_group(last.where(F.col("_community").isin(names)), ["_community"], order, n)
+    keys = chosen(listed)
+    if "all" in names:
+        keys = keys.unionByName(chosen(last.orderBy(*order).limit(n)))
+        keys = keys.groupBy("_m1", "_m2").agg(F.max("_times").alias("_times"))
+    found = fetched(rows, keys, most=n * (len(names) + 1))
+    return found.withColumn("brand", F.lit(None).cast("string"))
 
 
 def union_frames(*frames):

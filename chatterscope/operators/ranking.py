@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from chatterscope.functions.lookup import join_method
+from chatterscope.functions.lookup import MAX_BROADCAST_ROWS, join_method
 from chatterscope.functions.text import absolute_permalink, excerpt
 
 _SPREAD = 64
@@ -30,6 +30,28 @@ def limit_per_group(df, by, order, n):
     return df.withColumn("_row", F.row_number().over(window)).where(F.col("_row") <= n).drop("_row")
 
 
+def marked(df):
+    """df with two hashes of each whole row, by which the row can be found again."""
+    return df.withColumns({"_m1": F.xxhash64(*df.columns), "_m2": F.xxhash64(F.lit(7), *df.columns)})
+
+
+def fetched(df, keys, most=None):
+    """The rows of `marked` df that are chosen in keys (_m1, _m2, _times), as often as they are chosen.
+
+    Rows are chosen on what they are ranked by; their texts are read again where they lie. Keys are copied while they are known to be few
+    (`most` rows of three numbers), or measured to be; the texts of rows that are not chosen are never shuffled.
+    """
+    small = most <= MAX_BROADCAST_ROWS if most is not None else join_method(keys) == "broadcast"
+    found = df.join(keys.hint("broadcast" if small else "merge"), ["_m1", "_m2"])
+    same = Window.partitionBy("_m1", "_m2").orderBy("_m1")
+    return found.withColumn("_nth", F.row_number().over(same)).where("_nth <= _times").drop("_m1", "_m2", "_nth", "_times")
+
+
+def chosen(rows):
+    """keys for `fetched`, of chosen rows of a marked frame."""
+    return rows.groupBy("_m1", "_m2").agg(F.count(F.lit(1)).alias("_times"))
+
+
 def dedupe_order(df):
     """Newest version first; the rest only makes the choice among equals repeatable."""
     text_hash = F.col("text_hash") if "text_hash" in df.columns else F.xxhash64("text")
@@ -77,19 +99,13 @@ def rolling_mean(daily, cols=ROLLING_COLUMNS, n=7, date="event_date"):
 
 
 def top_post_per_day(posts):
-    """The best post of each brand and day with its link and excerpt."""
+    """The best post of each brand and day with its link and excerpt; only the texts of these posts are read and cleaned."""
     link = "permalink" if "permalink" in posts.columns else "url"
-    narrow = posts.select(
-        "brand",
-        "event_date",
-        "score",
-        "id",
-        absolute_permalink(link).alias("top_permalink"),
-        excerpt("text").alias("top_text"),
-    )
-    order = [F.col("score").desc_nulls_last(), F.col("id").asc()]
-    return limit_per_group(narrow, ["brand", "event_date"], order, 1).select(
-        "brand", "event_date", "top_permalink", "top_text"
+    rows = marked(posts.select("brand", "event_date", "score", "id", F.col(link).alias("link"), "text"))
+    order = [F.col("score").desc_nulls_last(), F.col("id").asc(), F.col("_m1").asc(), F.col("_m2").asc()]
+    best = fetched(rows, chosen(limit_per_group(rows, ["brand", "event_date"], order, 1)))
+    return best.select(
+        "brand", "event_date", absolute_permalink("link").alias("top_permalink"), excerpt("text").alias("top_text")
     )
 
 

@@ -70,26 +70,27 @@ def normalize_comments(spark, sf):
     return shown(ingest.normalize_comments(V.comments(spark, sf), V.NOW))
 
 
-_TOP = """ranked AS (
+# All posts, of which every tenth is there in two versions: the one fetched last counts.
+_LAST = """last AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY fetched_at DESC) AS version FROM posts)
+  WHERE version = 1 AND created_utc >= 1704067200 AND created_utc < 1708000000),
+ranked AS (
   SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY score DESC NULLS LAST, id) AS place
-  FROM base WHERE subreddit IN ('src1', 'src2', 'src3', 'src12') AND created_utc >= 1704067200
-  AND created_utc < 1708000000)"""
+  FROM last WHERE subreddit IN ('src1', 'src2', 'src3', 'src12'))"""
 
 
-def top(spark, sf, n):
-    firsts = V.posts(spark, sf).where(F.col("fetched_at") - F.col("created_utc") < 3600)
-    subs = ["src1", "Src2", "src3", "src12"]
-    return ingest.backfill_top(firsts, subs, n, 1704067200, 1708000000)
+def top(spark, sf, n, *more):
+    return ingest.backfill_top(V.posts(spark, sf), ["src1", "Src2", "src3", "src12", *more], n, 1704067200, 1708000000)
 
 
-@query("s10_backfill_top", O.select(O.POSTS + "," + _TOP, "SELECT subreddit, id, score FROM ranked WHERE place <= 10"))
+@query("s10_backfill_top", O.select(O.POSTS + "," + _LAST, "SELECT subreddit, id, score FROM ranked WHERE place <= 10"))
 def backfill_top(spark, sf):
     return top(spark, sf, 10).select("subreddit", "id", "score")
 
 
 @query(
     "l6_limit_per_group",
-    O.select(O.POSTS + "," + _TOP, "SELECT subreddit, count(*) AS kept, min(score) AS lowest FROM ranked WHERE place <= 2000 GROUP BY subreddit"),
+    O.select(O.POSTS + "," + _LAST, "SELECT subreddit, count(*) AS kept, min(score) AS lowest FROM ranked WHERE place <= 2000 GROUP BY subreddit"),
 )
 def limit_per_group(spark, sf):
     """More rows per group than Spark cuts inside its map tasks."""
@@ -98,31 +99,18 @@ def limit_per_group(spark, sf):
     )
 
 
-@query("k6_write_backfill", O.select(O.POSTS + "," + _TOP, f"SELECT {POST_COLUMNS} FROM ranked WHERE place <= 10"))
+@query("k6_write_backfill", O.select(O.POSTS + "," + _LAST, f"SELECT {POST_COLUMNS} FROM ranked WHERE place <= 10"))
 def backfill_sink(spark, sf):
     path = write_backfill(top(spark, sf, 10), scratch_path(spark, "backfill"))
     return shown(read_posts(spark, path))
 
 
-# All posts, of which every tenth is there in two versions: the one fetched last counts.
-_LAST = """last AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY fetched_at DESC) AS version FROM posts)
-  WHERE version = 1 AND created_utc >= 1704067200 AND created_utc < 1708000000),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY score DESC NULLS LAST, id) AS place
-  FROM last WHERE subreddit IN ('src1', 'src2', 'src3', 'src12'))"""
-
-
-def top_of_all(spark, sf, n, *more):
-    return ingest.backfill_top(V.posts(spark, sf), ["src1", "Src2", "src3", "src12", *more], n, 1704067200, 1708000000)
-
-
 @query(
     "s10_backfill_versions",
     O.select(O.POSTS + "," + _LAST, "SELECT subreddit, id, score, fetched_at FROM ranked WHERE place <= 10"),
 )
 def backfill_versions(spark, sf):
-    return top_of_all(spark, sf, 10).select("subreddit", "id", "score", "fetched_at")
+    return top(spark, sf, 10).select("subreddit", "id", "score", "fetched_at")
 
 
 @query(
@@ -132,7 +120,7 @@ def backfill_versions(spark, sf):
       SELECT * FROM last ORDER BY score DESC NULLS LAST, id LIMIT 10)"""),
 )
 def backfill_all_and_some(spark, sf):
-    return top_of_all(spark, sf, 10, " ALL").select("subreddit", "id", "score", "fetched_at")
+    return top(spark, sf, 10, " ALL").select("subreddit", "id", "score", "fetched_at")
 
 
 @query(
@@ -141,14 +129,14 @@ def backfill_all_and_some(spark, sf):
     CAST(sum(fetched_at) AS BIGINT) AS fetched FROM ranked WHERE place <= 2000 GROUP BY subreddit"""),
 )
 def limit_per_group_versions(spark, sf):
-    return top_of_all(spark, sf, 2000).groupBy("subreddit").agg(
+    return top(spark, sf, 2000).groupBy("subreddit").agg(
         F.count(F.lit(1)).alias("kept"), F.min("score").alias("lowest"), F.sum("fetched_at").alias("fetched")
     )
 
 
 @query("k6_write_backfill_versions", O.select(O.POSTS + "," + _LAST, f"SELECT {POST_COLUMNS} FROM ranked WHERE place <= 10"))
 def backfill_sink_versions(spark, sf):
-    path = write_backfill(top_of_all(spark, sf, 10), scratch_path(spark, "backfill"))
+    path = write_backfill(top(spark, sf, 10), scratch_path(spark, "backfill"))
     return shown(read_posts(spark, path))
 
 

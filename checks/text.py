@@ -195,7 +195,7 @@ def stamp_fetched(spark, sf):
 _KEYED = """keyed AS (
   SELECT *, CASE WHEN doc_id % 4 = 0 THEN '  ' WHEN doc_id % 4 = 1 THEN NULL ELSE id END AS kid,
     CASE WHEN doc_id % 3 <> 0 THEN ' ' || permalink END AS klink,
-    CASE WHEN doc_id % 8 <> 0 THEN url END AS kurl FROM base)"""
+    CASE WHEN doc_id % 8 <> 0 THEN url END AS kurl FROM (SELECT *, CAST(id AS BIGINT) AS doc_id FROM posts))"""
 
 
 @query(
@@ -207,7 +207,7 @@ _KEYED = """keyed AS (
     AS live_key FROM keyed"""),
 )
 def live_key(spark, sf):
-    return live_keys(V.posts(spark, sf).where(F.col("fetched_at") - F.col("created_utc") < 3600)).drop("fetched_at")
+    return live_keys(V.posts(spark, sf)).drop("fetched_at")
 
 
 def live_keys(posts):
@@ -224,8 +224,7 @@ def live_keys(posts):
 
 @query(
     "p21_live_key_versions",
-    O.select(O.POSTS + ",\n" + _KEYED.replace("FROM base", "FROM (SELECT *, CAST(id AS BIGINT) AS doc_id FROM posts)"),
-             """SELECT id, fetched_at, CASE WHEN trim(coalesce(kid, '')) <> '' THEN 'id:' || kid
+    O.select(O.POSTS + ",\n" + _KEYED, """SELECT id, fetched_at, CASE WHEN trim(coalesce(kid, '')) <> '' THEN 'id:' || kid
     WHEN trim(coalesce(klink, '')) <> '' THEN 'permalink:' || trim(klink)
     WHEN coalesce(kurl, '') <> '' THEN 'url:' || kurl
     ELSE 'ts:' || CAST(created_utc AS VARCHAR) || ':sr:' || subreddit || ':a:' || author END

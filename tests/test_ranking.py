@@ -108,3 +108,41 @@ def test_monthly_top_shuffles_no_text(spark, tmp_path):
         assert top.count() == 4
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _nodes(plan):
+    yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
+
+
+def _text_travels(df):
+    """Whether a shuffle below the last join of the plan carries texts."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+    join = next(n for n in _nodes(plan) if n.nodeName().endswith("Join"))
+    shuffles = [n for n in _nodes(join) if n.nodeName() == "Exchange"]
+    assert shuffles
+    return any("text#" in n.output().mkString(",") for n in shuffles)
+
+
+def test_backfill_and_best_posts_shuffle_no_text(spark, posts):
+    from chatterscope.operators.ingest import backfill_top
+
+    df = posts(*[{"id": str(i % 40), "subreddit": "a", "score": i % 7, "created_utc": i, "fetched_at": i, "text": "t" * i, "permalink": "/p"} for i in range(60)])
+    for frame in (backfill_top(df, ["a", "all"], 3), ranking.top_post_per_day(df.withColumns({"event_date": F.current_date(), "brand": F.lit("b")}))):
+        assert frame.count() > 0 and not _text_travels(frame)
+
+
+def test_backfill_of_equal_and_nameless_rows(posts):
+    from chatterscope.operators.ingest import backfill_top
+
+    row = {"subreddit": "a", "score": 5, "created_utc": 1, "fetched_at": 1, "text": "t"}
+    named = [{**row, "id": "x"}] * 3 + [{**row, "id": "x", "fetched_at": 2, "score": 1}]
+    nameless = [row] * 4 + [{**row, "score": 9}]
+    got = backfill_top(posts(*named, *nameless), [" A "], 4).collect()
+    assert sorted((r["id"] or "", r["score"], r["fetched_at"]) for r in got) == [("", 5, 1), ("", 5, 1), ("", 5, 1), ("", 9, 1)]
+    got = backfill_top(posts(*named, *nameless), ["a", "all"], 10).collect()
+    assert sorted((r["id"] or "", r["score"]) for r in got) == [("", 5)] * 4 + [("", 9), ("x", 1)]
+    assert backfill_top(posts(), ["a"], 3).collect() == []
