@@ -127,12 +127,14 @@ def _text_travels(df):
     return any("text#" in n.output().mkString(",") for n in shuffles)
 
 
-def test_backfill_and_best_posts_shuffle_no_text(spark, posts):
+def test_backfill_and_best_posts_shuffle_no_text(spark, posts, tmp_path):
     from chatterscope.operators.ingest import backfill_top
 
-    df = posts(*[{"id": str(i % 40), "subreddit": "a", "score": i % 7, "created_utc": i, "fetched_at": i, "text": "t" * i, "permalink": "/p"} for i in range(60)])
-    for frame in (backfill_top(df, ["a", "all"], 3), ranking.top_post_per_day(df.withColumns({"event_date": F.current_date(), "brand": F.lit("b")}))):
-        assert frame.count() > 0 and not _text_travels(frame)
+    rows = [{"id": str(i % 40), "subreddit": "a", "score": i % 7, "created_utc": i, "fetched_at": i, "text": "t" * i, "brand": f"b{i % 2}", "permalink": "/p"} for i in range(60)]
+    posts(*rows).withColumn("event_date", F.date_from_unix_date((F.col("created_utc") % 3).cast("int"))).write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    for frame, n in ((backfill_top(df, ["a"], 3), 3), (backfill_top(df, ["a", "all"], 3), 3), (ranking.top_post_per_day(df), 6)):
+        assert not _text_travels(frame) and frame.count() == n
 
 
 def test_backfill_of_equal_and_nameless_rows(posts):
