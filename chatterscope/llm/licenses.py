@@ -7,6 +7,8 @@ sentences are skipped. The rules are tried in order on the
 sequence of identifiers; what a rule matches is taken, so that a later, shorter rule does not match it again.
 """
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, functions as F
 
 from chatterscope.llm.common import ascii_lower
@@ -67,8 +69,19 @@ LINE_BREAK = r"[ \t\r]*+\n[^0-9A-Za-z\n]*+"
 # A blank line, or white space after a closing mark, but not before a number; a colon closes before a capital.
 SENTENCE_END = r"\u0001{2,}|(?<=[.;!?])[ \t\r\u0001]++(?![0-9])|(?<=:)[ \t\r\u0001]++(?=[A-Z])"
 OTHER = r"[^0-9a-z\u0001\u0002]+"
-# Each known sentence holds one of these; texts without any are not cut at all.
-CUES = "(?i)licen[sc]e|permission|copyright|warranty|redistribut|public[^0-9a-z]+domain|rights[^0-9a-z]+reserved"
+
+def cues(sentences):
+    """A pattern for words of which each known sentence (in normal form) holds one; texts without any are not cut.
+
+    The words that most sentences share are taken first, the longest of equals.
+    """
+    left, words = {s: set(s.split(" ")) for s in sentences}, []
+    while left:
+        votes = Counter(w for ws in left.values() for w in ws)
+        best = max(votes, key=lambda w: (votes[w] * (len(w) > 4), len(w), w))
+        words.append(best)
+        left = {s: ws for s, ws in left.items() if best not in ws}
+    return "(?i)" + "|".join(sorted(words))
 
 
 def marked(text):
@@ -101,7 +114,7 @@ def licences(docs: DataFrame, sentences=SENTENCES, rules=RULES, name="licence")
     longest = sorted(known, key=len, reverse=True)
     pattern = "[\\u0001\\u0002](" + "|".join(s.replace(" ", "[ \\u0001]") for s in longest) + ")(?=[\\u0001\\u0002])"
     hits = F.regexp_extract_all(marked(F.col("text")), F.lit(pattern), F.lit(1))
-    cut = F.when(F.col("text").rlike(CUES), hits).otherwise(F.array().cast("array<string>"))
+    cut = F.when(F.col("text").rlike(cues(known)), hits).otherwise(F.array().cast("array<string>"))
     ids = F.transform(cut, lambda s: F.element_at(lookup, F.translate(s, LINE, " ")))
     ordered = F.array(*[
         F.struct(F.lit(licence).alias("licence"), F.lit("|" + "|".join(order) + "|").alias("pattern"))

@@ -72,3 +72,21 @@ def test_numbered_clauses_and_gaps(frame):
 def test_marks_in_texts_end_nothing(frame):
     rows = scan(frame, ["A license.\u0001Released under the MIT License.", "a\u0002Released under the MIT License.\u0002"])
     assert [r[1] for r in rows] == ["", ""]
+
+
+def test_sentences_without_a_usual_cue_are_found(frame):
+    """The words that a text must hold to be cut come from the sentences that are passed."""
+    sentences = [("X-1", "Do as you like with it."), ("X-2", "Beer is owed."), *lic.SENTENCES]
+    rules = [("Beerware", ("X-1", "X-2")), *lic.RULES]
+    rows = scan(frame, ["do as YOU like, with it!\nBeer is owed", "do as you like", "Released under the MIT License."], sentences=sentences, rules=rules)
+    assert rows == [("X-1,X-2", "Beerware", 1), ("", "", 0), ("MIT-REF", "MIT", 1)]
+    alone = scan(frame, ["a\nBeer is owed.\nb"], sentences=sentences[1:2], rules=[("B", ("X-2",))])
+    assert alone == [("X-2", "B", 1)]
+
+
+def test_every_sentence_has_a_derived_cue():
+    import re
+
+    known = {lic.plain_normalised(t) for _, t in lic.SENTENCES} | {"a", "of it"}
+    pattern = re.compile(lic.cues(known))
+    assert all(pattern.search(s) for s in known)
