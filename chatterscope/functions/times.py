@@ -19,7 +19,8 @@ def event_ts(created_utc):
 
 
 def event_date(ts):
-    return F.to_date(_col(ts))
+    """The date of a timestamp in UTC, whatever the zone of the session."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(_col(ts)) / 86400).cast("int"))
 
 
 def date_parts(df, date="event_date"):

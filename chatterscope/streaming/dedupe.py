@@ -1,6 +1,10 @@
 """Dropping repeated posts in a stream."""
 
+import time
+
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 _SPREAD = 16
 
@@ -19,3 +23,51 @@ def dedupe_stream(df, delay="1 hour", keys=("type", "id"), spread=False):
         shared = df.withColumn("_share", F.spark_partition_id() % _SPREAD)
         df = shared.dropDuplicatesWithinWatermark([*keys, "_share"]).drop("_share")
     return df.dropDuplicatesWithinWatermark(list(keys)).drop("_arrived")
+
+
+_SEEN = "names array<string>, times array<double>"
+
+
+def dedupe_bounded(df, bound=100_000, keys=("type", "id"), shards=64, max_age=None, clock=time.time):
+    """Each post once among the last `bound` ones, whatever the time between copies.
+
+    Keys are dealt to `shards` shares by hash, each of which remembers its last `bound // shards` keys (one at least), in the order of their first
+    arrival; of keys that arrive in one micro-batch, in the order of their names. When a share is full, the key that was seen first is
+    forgotten first; a copy does not make its key younger. With `max_age` (seconds), older keys are forgotten, too, when their share
+    gets posts; a share that gets none holds no more than its bound. Copies in one batch of rows are dropped before they are shuffled, so a hot key is no hot spot.
+    The number of shares is fixed by the checkpoint.
+    """
+    limit, names = max(1, bound // shards), list(keys)
+    # As texts, whole numbers with nulls among them pass through pandas unchanged.
+    whole = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, IntegralType)}
+    texts = df.withColumns({c: F.col(c).cast("string") for c in whole})
+    share = F.pmod(F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in names]), F.lit(shards))
+
+    def label(row):
+        return "\x1f".join("\0" if pd.isna(v) else str(v) for v in row)
+
+    def first_in_batch(batches):
+        for pdf in batches:
+            yield pdf.drop_duplicates(names)
+
+    def remember(key, frames, state):
+        now = float(clock())
+        known = list(zip(*state.get)) if state.exists else []
+        if max_age is not None:
+            known = [(n, t) for n, t in known if t >= now - max_age]
+        old, fresh, kept = {n for n, _ in known}, set(), []
+        for pdf in frames:
+            labels = pd.Series([label(row) for row in pdf[names].itertuples(index=False)], pdf.index, dtype=object)
+            new = ~labels.isin(old | fresh) & ~labels.duplicated()
+            fresh.update(labels[new])
+            kept.append(pdf[new].drop(columns="_share"))
+        known = (known + [(n, now) for n in sorted(fresh)])[-limit:]
+        if known:
+            state.update(tuple(map(list, zip(*known))))
+        elif state.exists:
+            state.remove()
+        yield from kept
+
+    dealt = texts.mapInPandas(first_in_batch, texts.schema).withColumn("_share", share)
+    unique = dealt.groupBy("_share").applyInPandasWithState(remember, texts.schema, _SEEN, "append", "NoTimeout")
+    return unique.withColumns({c: F.col(c).cast(kind) for c, kind in whole.items()})

@@ -5,7 +5,7 @@ from chatterscope.operators.ingest import normalize_comments, normalize_submissi
 from chatterscope.operators.tagging import extract_brand
 from chatterscope.schema import POST_SCHEMA
 from chatterscope.sinks.files import start_ndjson_sink
-from chatterscope.streaming.dedupe import dedupe_stream
+from chatterscope.streaming.dedupe import dedupe_bounded, dedupe_stream
 
 
 def mentions_feed(submissions, comments, keywords, now=None):
@@ -14,7 +14,10 @@ def mentions_feed(submissions, comments, keywords, now=None):
     return extract_brand(posts, clean_keywords(keywords))
 
 
-def start_ingest(submissions, comments, keywords, path, checkpoint, delay="1 hour", now=None, **sink):
-    """Run the feed through the dedupe into the NDJSON sink."""
+def start_ingest(submissions, comments, keywords, path, checkpoint, delay="1 hour", now=None, spread=False, bound=None, **sink):
+    """Run the feed through the dedupe into the NDJSON sink. `spread` is for hot ids, and `bound` limits the ids that are
+    remembered by their number instead of their time, see `streaming.dedupe`.
+    """
     feed = mentions_feed(submissions, comments, keywords, now)
-    return start_ndjson_sink(dedupe_stream(feed, delay).select(*POST_SCHEMA.names), path, checkpoint, **sink)
+    unique = dedupe_stream(feed, delay, spread=spread) if bound is None else dedupe_bounded(feed, bound)
+    return start_ndjson_sink(unique.select(*POST_SCHEMA.names), path, checkpoint, **sink)

@@ -16,7 +16,7 @@ from chatterscope.schema import COMMENT_SCHEMA, POST_SCHEMA, SUBMISSION_SCHEMA
 from chatterscope.session import scratch_path
 from chatterscope.sinks.files import start_ndjson_sink
 from chatterscope.sources.posts import read_posts, read_posts_stream
-from chatterscope.streaming.dedupe import dedupe_stream
+from chatterscope.streaming.dedupe import dedupe_bounded, dedupe_stream
 from chatterscope.streaming.ingest import start_ingest
 from chatterscope.streaming.live import read_points, read_ticks, start_live
 from chatterscope.streaming.windows import (
@@ -196,6 +196,25 @@ def dedupe_spread(spark, sf):
     return read_posts(spark, out).select("type", "id", "created_utc")
 
 
+@query(
+    "t5_dedupe_bounded",
+    O.select(O.POSTS, "SELECT type, count(DISTINCT id) AS ids, true AS forgotten FROM posts GROUP BY type"),
+)
+def dedupe_by_number(spark, sf):
+    """All posts twice, in two runs on one checkpoint, with eight shares of one id each: by the second run all ids but at most
+    eight are forgotten and come again, each once.
+    """
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("bounded", "unique", "checkpoint"))
+    posts = V.posts(spark, sf).select(*POST_SCHEMA.names)
+    for _ in range(2):
+        posts.write.mode("append").option("ignoreNullFields", "false").json(source)
+        unique = dedupe_bounded(read_posts_stream(spark, source), bound=8, shards=8).select(*POST_SCHEMA.names)
+        run(start_ndjson_sink(unique, out, checkpoint, once=True))
+    found = read_posts(spark, out).groupBy("type", "id").agg(F.count(F.lit(1)).alias("times"))
+    once, most = F.count_if(F.col("times") == 1), F.max("times")
+    return found.groupBy("type").agg(F.count(F.lit(1)).alias("ids"), ((once <= 8) & (most == 2)).alias("forgotten"))
+
+
 @query(
     "t5_late_posts",
     O.select(O.POSTS, """SELECT DISTINCT type, id, created_utc FROM posts

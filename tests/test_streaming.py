@@ -9,7 +9,7 @@ from chatterscope.operators.scoring import score_by_words
 from chatterscope.schema import COMMENT_SCHEMA, POST_SCHEMA, SUBMISSION_SCHEMA
 from chatterscope.sinks.files import start_ndjson_sink
 from chatterscope.sources.posts import read_posts, read_posts_stream
-from chatterscope.streaming.dedupe import dedupe_stream
+from chatterscope.streaming.dedupe import dedupe_bounded, dedupe_stream
 from chatterscope.streaming.ingest import start_ingest
 from chatterscope.streaming.live import read_points, read_ticks, start_live
 from chatterscope.streaming.windows import (
@@ -242,3 +242,34 @@ def test_live_view_with_a_large_lexicon(spark, feed):
     table = spark.createDataFrame([(f"w{i}", 1.0) for i in range(60_000)], "token string, valence double")
     start_live(feed.stream(), feed.dir("points"), feed.dir("check"), ["nike"], table, track_start=T0, clock=lambda: T0, once=True).awaitTermination()
     assert read_points(spark, feed.dir("points")).first()["avg_compound"] == pytest.approx(0.125)
+
+
+def _remembered(files, limit):
+    """What a share emits: files of ids, each id once while it is among the last `limit` that were seen first."""
+    known, out = [], []
+    for ids in files:
+        fresh = sorted(set(ids) - set(known))
+        out += fresh
+        known = (known + fresh)[-limit:]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("bound, shards", [(7, 1), (40, 1), (1000, 5)])
+def test_dedupe_bounded_by_number(spark, feed, bound, shards):
+    files = [[f"{(k * 5 + i) % 23:02}" for i in range(11)] for k in range(5)] + [["00", "00", "22"]]
+    for ids in files:
+        feed.put(*[_post(i, T0, score=None if i > "11" else 3) for i in ids])
+    unique = dedupe_bounded(feed.stream(1), bound, shards=shards).select(*POST_SCHEMA.names)
+    start_ndjson_sink(unique, feed.dir("out"), feed.dir("check"), once=True).awaitTermination()
+    got = read_posts(spark, feed.dir("out")).collect()
+    assert sorted(r["id"] for r in got) == _remembered(files, bound // shards)
+    assert all(r["created_utc"] == T0 and r["score"] == (None if r["id"] > "11" else 3) for r in got)
+
+
+def test_dedupe_bounded_by_age_and_after_a_restart(spark, feed):
+    for at in (0, 50, 101):
+        feed.put(_post("a", T0), _post("b", T0), _post(f"n{at}", T0), {"type": "comment", "text": "nameless"}, {"type": "comment", "text": "nameless"})
+        unique = dedupe_bounded(feed.stream(), 100, shards=2, max_age=100, clock=lambda: T0 + at).select(*POST_SCHEMA.names)
+        start_ndjson_sink(unique, feed.dir("out"), feed.dir("check"), once=True).awaitTermination()
+    got = sorted(r["id"] or "" for r in read_posts(spark, feed.dir("out")).collect())
+    assert got == ["", "", "a", "a", "b", "b", "n0", "n101", "n50"]

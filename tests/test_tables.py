@@ -1,3 +1,4 @@
+import pytest
 import json
 
 from pyspark.sql import functions as F
@@ -124,9 +125,19 @@ def test_year_limits(posts):
     assert filter_year(rows).count() == 5
 
 
-def test_dates_do_not_depend_on_the_session_zone(spark, posts):
-    r = clean_posts(posts(_line(1, 1704067199, "a"))).first()
-    assert (str(r["event_date"]), r["year"], r["month"], r["day"]) == ("2023-12-31", "2023", "12", "31")
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Pacific/Kiritimati", "America/Sao_Paulo"])
+def test_dates_do_not_depend_on_the_session_zone(spark, posts, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        times = (1704067199, 1704067200, 1704153599, -1, 0, 1541300400)
+        rows = clean_posts(posts(*[_line(i, at, "a") for i, at in enumerate(times)])).orderBy("created_utc")
+        got = [tuple(r) for r in rows.selectExpr("CAST(event_date AS STRING)", "year", "month", "day").collect()]
+        assert got == [(f"{y}-{m}-{d}", y, m, d) for y, m, d in (("1969", "12", "31"), ("1970", "01", "01"), ("2018", "11", "04"),
+                       ("2023", "12", "31"), ("2024", "01", "01"), ("2024", "01", "01"))]
+        kept = clean_posts(filter_year(posts(*[_line(i, at, "a") for i, at in enumerate(times)]), 2024))
+        assert {r["year"] for r in kept.collect()} == {"2024"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_lenient_scan(spark, tmp_path):
