@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from chatterscope.llm.common import bounded_batches, keep, text_mark
+from chatterscope.llm.common import bounded_batches, copied_if_small, keep, text_mark
 from chatterscope.llm.hashing import CHUNK, DOWN, TABLE, UP, byte_mask, gathered, mixed, sliced, text_bytes, word_hashes
 
 LENGTH, GRAM = 35, 8
@@ -259,7 +259,9 @@ def chains(steps: DataFrame) -> DataFrame:
 
 def _places(found, steps):
     """doc, mark, places: what is to be verified in a document. glued: the path goes on from the place before."""
-    links = chains(steps).alias("c")
+    # As a table of its own, links (16 bytes a row) are copied while they are few, or else join as a plain shuffle whose hot keys
+    # adaptive execution can split: one passage may be on a large part of all steps.
+    links = copied_if_small(keep(chains(steps), "links")).alias("c")
     on = (F.col("s.before") == F.col("c.a")) & (F.col("s.whole") == F.col("c.b"))
 
     def place(glued):
