@@ -29,57 +29,68 @@ def parse_response_fallback(c):
     )
 
 
-def _json_number(answer, name):
-    """A field of a JSON object as double: numbers, spelled numbers and booleans; else null."""
-    shown = F.get_json_object(answer, f"$.{name}")
-    truth = F.rlike(answer, F.lit(rf'"{name}"\s*:\s*(true|false)'))
-    return F.when((shown == "true") & truth, F.lit(1.0)).otherwise(
-        F.when((shown == "false") & truth, F.lit(0.0)).otherwise(number_or_null(shown))
+def _field(answer, name):
+    """Type and text of a field of the only object of an array; the type is null where the field is missing."""
+    path = f"$[0].{name}"
+    return F.struct(
+        F.schema_of_variant(F.try_variant_get(answer, path, "variant")).alias("type"),
+        F.try_variant_get(answer, path, "string").alias("shown"),
     )
 
 
-def _is_single_object(answer):
-    # In brackets, text after the object makes the whole invalid, or one element too many.
-    single = F.json_array_length(F.concat(F.lit("["), answer, F.lit("]"))) == 1
-    # Spark also reads single-quoted strings, which are not JSON.
-    outside = F.regexp_replace(answer, r'"(?:[^"\\]|\\.)*"', "")
-    return F.coalesce(
-        F.startswith(answer, F.lit("{")) & single & ~F.contains(outside, F.lit("'")), F.lit(False)
-    )
+def _number(field):
+    """A JSON value as double: numbers, spelled numbers and booleans; else null."""
+    truth = F.when(field["shown"] == "true", F.lit(1.0)).otherwise(F.lit(0.0))
+    return F.when(field["type"] == "BOOLEAN", truth).otherwise(number_or_null(field["shown"]))
 
 
 def parse_response(c):
     """Struct (compound, relevancy, explanation) of a model answer.
 
     A valid object gives its fields; compound defaults to 0. One unreadable field sends the whole
-    answer to the pattern search, except that a compound read before the failure is kept.
+    answer to the pattern search, except that a compound read before the failure is kept. An object
+    that holds a key twice is not valid. The JSON is parsed once, and patterns are searched only
+    where it gave no clean result.
     """
 
     def read(answer):
-        given = F.array_contains(F.json_object_keys(answer), "compound")
+        # In brackets, text after the object makes the whole invalid, or one element too many.
+        whole = F.try_parse_json(F.concat(F.lit("["), answer, F.lit("]")))
+        return F.when(F.startswith(answer, F.lit("{")), bind(whole, fields))
+
+    def fields(whole):
+        single = F.try_variant_get(whole, "$[1]", "variant").isNull()
+        return F.when(
+            whole.isNotNull() & single,
+            F.struct(
+                _field(whole, "compound").alias("compound"),
+                _field(whole, "relevancy").alias("relevancy"),
+                F.try_variant_get(whole, "$[0].explanation", "string").alias("explanation"),
+            ),
+        )
+
+    def numbers(said):
+        given = F.when(said["compound"]["type"].isNull(), F.lit(0.0)).otherwise(_number(said["compound"]))
         return F.when(
-            _is_single_object(answer),
+            said.isNotNull(),
             F.struct(
-                F.when(given, _json_number(answer, "compound"))
-                .otherwise(F.lit(0.0))
-                .alias("compound"),
-                _json_number(answer, "relevancy").alias("relevancy"),
-                F.get_json_object(answer, "$.relevancy").isNull().alias("unrated"),
+                given.alias("compound"),
+                _number(said["relevancy"]).alias("relevancy"),
+                said["explanation"].alias("explanation"),
+                said["relevancy"]["shown"].isNull().alias("unrated"),
             ),
         )
 
     def choose(answer, said):
         clean = said["compound"].isNotNull() & (said["unrated"] | said["relevancy"].isNotNull())
-        loose = parse_response_fallback(answer)
-        kept = F.struct(
-            said["compound"].alias("compound"),
-            said["relevancy"].alias("relevancy"),
-            F.get_json_object(answer, "$.explanation").alias("explanation"),
-        )
-        searched = F.struct(
-            F.coalesce(loose["compound"], said["compound"], F.lit(0.0)).alias("compound"),
-            loose["relevancy"].alias("relevancy"),
-            F.lit(None).cast("string").alias("explanation"),
+        kept = F.struct(*[said[name].alias(name) for name in ("compound", "relevancy", "explanation")])
+        searched = bind(
+            parse_response_fallback(answer),
+            lambda loose: F.struct(
+                F.coalesce(loose["compound"], said["compound"], F.lit(0.0)).alias("compound"),
+                loose["relevancy"].alias("relevancy"),
+                F.lit(None).cast("string").alias("explanation"),
+            ),
         )
         return F.when(clean, kept).otherwise(searched)
 
@@ -91,8 +102,8 @@ def parse_response(c):
         )
 
     # Each step is a variable, so that an answer is parsed once and not for every use of its parts.
-    parsed = bind(
-        strip_ws(c),
-        lambda a: F.when(a.isNotNull(), bind(read(a), lambda said: choose(a, said))),
-    )
-    return bind(parsed, lambda r: F.when(r.isNotNull(), limited(r)))
+    def parsed(answer):
+        return bind(bind(read(answer), numbers), lambda said: choose(answer, said))
+
+    found = bind(strip_ws(c), lambda answer: F.when(answer.isNotNull(), parsed(answer)))
+    return bind(found, lambda r: F.when(r.isNotNull(), limited(r)))
