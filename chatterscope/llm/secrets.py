@@ -2,7 +2,9 @@
 
 Base kinds: assign, access, hex (patterns). Kind `markov`: tokens of 20 or more characters with a letter and a digit,
 whose pairs of characters are likelier under a model of random strings than under one of ordinary identifiers. The
-models are trained on a bounded sample of documents: values that the base patterns label as secrets, and plain words.
+models are trained on a bounded sample of documents. Random strings are the values that the base patterns label as secrets,
+and digests of the sample's words in the usual spellings. Ordinary identifiers are these words, and the words put together
+with dashes, underscores, capitals, numbers and dates.
 
 Places are worked out from the lengths of the matches and of what lies between them.
 """
@@ -21,11 +23,17 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = (
     r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{20,}"
 )
+# Words of the training sample.
+WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{2,30}(?![A-Za-z0-9+/_=-])"
 KINDS = {"assign": (ASSIGN, 2, 12), "access": (ACCESS, 0, 18), "hex": (HEX, 0, 16), "markov": (TOKEN, 0, 20)}
 BASE = ("assign", "access", "hex")
 
 # The bound of the training sample: documents, chosen by a hash of their id.
 SAMPLE_DOCS = 4000
+# The bound of its words, chosen by a hash of them.
+SAMPLE_WORDS = 5000
+# Share of a model that is the uniform distribution, so that pairs the sample happens to lack weigh little.
+UNIFORM = 0.1
 # Natural logarithm of the odds that a token must reach.
 THRESHOLD = 7.0
 
@@ -75,21 +83,50 @@ def _steps(token):
     )
 
 
-def train(docs: DataFrame, sample=SAMPLE_DOCS):
+def _identifiers(word):
+    """Ordinary identifiers made of a word; only neighbouring characters count, so one word stands for several."""
+    code = F.crc32(word.cast("binary"))
+    short, number = (F.pmod(code, F.lit(n)).cast("string") for n in (10, 3000))
+    two = [F.lpad(F.pmod(F.shiftright(code, k), F.lit(60)).cast("string"), 2, "0") for k in (4, 10, 16)]
+    year = F.pmod(code, F.lit(40)) + 1990
+    join = F.concat
+    return F.array(
+        word, F.initcap(word), join(F.lit("_"), word, F.lit("_")), join(F.lit("-"), word, F.lit("-")),
+        join(word, short, F.lit("_"), word), join(F.lit("_"), number, F.lit("_"), word), join(word, F.lit("-"), number, F.lit("-")),
+        join(F.lit("_v"), short, F.lit("-v"), short, F.lit("_")), join(word, F.initcap(word), number),
+        join(F.upper(word), F.lit("_"), F.upper(word), F.lit("-"), short), join(F.lit("/"), word, F.lit("/"), word, F.lit("=")),
+        join(year.cast("string"), F.lit("-"), two[0], F.lit("-"), two[1], F.lit("T"), two[2], F.lit("-"), two[0], F.lit("Z")),
+    )
+
+
+def _random_strings(word):
+    """Digests of a word, as hex and base 64, also with dashes and in capitals."""
+    digest = F.sha2(word.cast("binary"), 256)
+    plain = F.rtrim(F.base64(F.unhex(digest)), F.lit("="))
+    grouped = F.regexp_replace(digest, "([0-9a-f]{8})", "$1-")
+    return F.array(digest, F.upper(digest), plain, F.translate(plain, "+/", "-_"), grouped)
+
+
+def train(docs: DataFrame, sample=SAMPLE_DOCS, n_words=SAMPLE_WORDS):
     """Log-likelihood ratio of each pair of characters: random strings against ordinary identifiers.
 
-    Counts are smoothed by one, which is also what remains without any sample: all ratios are 0 then.
+    The sample: documents and words of them, both bounded. Each of the words and each distinct secret counts once. The shares are
+    mixed with the uniform distribution, which is also what remains without any sample: all ratios are 0 then.
     """
     ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
     chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     some = docs.select("doc_id", "text").join(copied_if_small(chosen, sample), "doc_id")
-    secret = matches(some, {k: KINDS[k] for k in BASE}).select(F.lit(1).alias("label"), F.col("value").alias("token"))
-    plain = some.select(
-        F.lit(0).alias("label"),
-        F.explode(F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z_]{4,}(?![A-Za-z0-9+/_=-])"), F.lit(0))).alias("token"),
-    )
+    secret = matches(some, {k: KINDS[k] for k in BASE}).select("value").distinct()
+    word = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    words = some.select(F.explode(word).alias("word")).distinct().orderBy(F.xxhash64("word"), "word").limit(n_words)
+    made = F.array(*[
+        F.struct(F.lit(label).alias("label"), tokens.alias("tokens"))
+        for label, tokens in ((0, _identifiers(F.col("word"))), (1, _random_strings(F.col("word"))))
+    ])
+    spelled = words.select(F.explode(made).alias("m")).select("m.label", F.explode("m.tokens").alias("token"))
+    found = secret.select(F.lit(1).alias("label"), F.col("value").alias("token"))
     counts = (
-        secret.unionByName(plain)
+        found.unionByName(spelled)
         .where(F.char_length("token") > 1)
         .select("label", F.explode(_steps(F.col("token"))).alias("step"))
         .groupBy("label", "step")
@@ -97,13 +134,18 @@ def train(docs: DataFrame, sample=SAMPLE_DOCS):
         .collect()  # at most two rows for each pair of the alphabet
     )
     n = len(ALPHABET)
-    times = [[1.0] * n * n for _ in range(2)]
+    times = [[0] * n * n for _ in range(2)]
     for r in counts:
         times[r["label"]][r["step"]] += r["count"]
+
+    def shares(row):
+        total = sum(row)
+        return [UNIFORM / n + (1 - UNIFORM) * x / total if total else 1 / n for x in row]
+
     ratio = []
     for a in range(n):
-        rows = [t[a * n : (a + 1) * n] for t in times]
-        ratio += [math.log(s / sum(rows[1])) - math.log(p / sum(rows[0])) for p, s in zip(*rows)]
+        plain, random = (shares(t[a * n : (a + 1) * n]) for t in times)
+        ratio += [math.log(r / p) for p, r in zip(plain, random)]
     return ratio
 
 

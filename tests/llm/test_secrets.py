@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import re
 
@@ -36,3 +37,48 @@ def test_random_strings_are_found_and_identifiers_are_not(spark, frame, rng):
     assert rows[60].n_markov == 1 and rows[60].spans == f"markov:4:{4 + len(odd)}"
     assert rows[61].n_markov == 0
     assert s.secrets(frame([])).count() == 0
+
+
+PLAIN = ["customer_account_settings_v2_backup", "com_example_service_v1_handler_impl", "utf8mb4_unicode_520_ci_collation",
+         "sha256-of-the-release-tarball-v1", "2024-01-01T00-00-00Z"]
+
+
+def _secret(rng):
+    """A random string in one of the usual spellings."""
+    raw = bytes(rng.randrange(256) for _ in range(24))
+    code = raw.hex()
+    kinds = [code, code.upper(), base64.b64encode(raw).decode(), base64.urlsafe_b64encode(raw).decode(),
+             "-".join(code[i : i + 6] for i in range(0, 48, 6))]
+    return rng.choice(kinds)
+
+
+def _identifier(rng, words):
+    """Three to five words with a number, joined in one of the usual ways."""
+    parts = [rng.choice(words) for _ in range(rng.randint(3, 5))]
+    parts.insert(rng.randint(1, len(parts)), rng.choice(["v1", "v2", "2023", "07", "3", "128"]))
+    style = rng.randrange(4)
+    if style == 3:
+        return parts[0] + "".join(p.capitalize() for p in parts[1:])
+    return ("_", "-", "_")[style].join(p.upper() if style == 2 else p for p in parts)
+
+
+def test_held_out_precision_and_recall(spark, frame, rng):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    ratio = s.train(docs)
+    # Words that the sample does not hold, in another language's spelling.
+    words = ("request handler settings backup invoice shipment customer account stream window bucket archive kernel socket "
+             "quarterly forecast payload gateway cluster release download journal printer voltage hydraulic").split()
+    digit = lambda x: any(c.isdigit() for c in x) and len(x) >= 20
+    secret = [x for x in (_secret(rng) for _ in range(300)) if digit(x)]
+    plain = [x for x in (_identifier(rng, words) for _ in range(600)) if digit(x)] + PLAIN
+    got = {r.doc_id: r.n_markov for r in s.secrets(frame([f"see {x} here" for x in secret + plain]), ratio).collect()}
+    hit = sum(got[i] > 0 for i in range(len(secret)))
+    wrong = [x for i, x in enumerate(plain, len(secret)) if got[i]]
+    assert len(plain) > 300 and not set(wrong) & set(PLAIN)
+    assert hit >= 0.9 * len(secret) and hit >= 0.9 * (hit + len(wrong))
+
+
+def test_only_the_model_finds_it(spark, frame):
+    ratio = s.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    row = s.secrets(frame(["the key is Zk9vQ2x7LwT3pXhR8sYbN1mD5e and no more"]), ratio).first()
+    assert (row.n_assign, row.n_access, row.n_hex, row.n_markov) == (0, 0, 0, 1)
