@@ -5,8 +5,10 @@ greatest value, texts by a checksum. A row's key in a dimension is that coordina
 row, so that even rows with equal metadata (a source with a third of all rows) can be split anywhere. The weight is
 the size in bytes, so shards hold near equal bytes.
 
-Medians are found without sorting: each pass sums the bytes of 1,024 intervals per node (combined inside the map
-tasks; a few thousand sums reach the driver) and narrows the interval that holds the median.
+Medians are found without sorting, those of all nodes of a level together: each pass sums the bytes of 1,024 intervals
+per node (combined inside the map tasks), finds the interval that holds the median by running sums per node, and narrows it.
+One row per node reaches the driver. The tree is data: arrays over its nodes, numbered as in a heap, which one
+expression walks for each row. Plans do not grow with the leaves, only these arrays do (some 40 bytes a leaf).
 """
 
 import math
@@ -54,51 +56,103 @@ def coordinates(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", *keys)
 
 
-def _node_of(tree):
-    """Number of the leaf of a row as an expression over its keys; tree: a leaf number or (dim, key, low, high)."""
-    if isinstance(tree, int):
-        return F.lit(tree)
-    dim, at, low, high = tree
-    return F.when(F.col(f"key_{dim}") < at, _node_of(low)).otherwise(_node_of(high))
+def _constant(values):
+    """An array<bigint> as one expression, which is parsed once, when it is folded to a constant."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def _medians(rows, wanted):
-    """Key of dimension `dim` that leaves `target` bytes below it, for each open node.
+def _at(values, place):
+    """The value at a place, counted from 1; null beyond the ends."""
+    return F.get(values, (place - 1).cast("int"))
 
-    wanted: node -> (dim, low, high, target, bytes). rows have a column `node`.
+
+class _Tree:
+    """Nodes numbered as in a heap (root 1, children 2 n and 2 n + 1): the split dimension and key of each, and its leaves."""
+
+    def __init__(self, leaves, dimensions):
+        self.dimensions = dimensions
+        self.depth = (leaves - 1).bit_length()
+        size = 2 << self.depth
+        self.split, self.cut = [0] * size, [0] * size  # a dimension counts from 1; 0 is a node without a split
+        self.leaves = {1: (0, leaves)}  # node -> (first leaf, number of leaves)
+
+    def open_nodes(self, level):
+        """The nodes of a level that must be split, and their numbers of leaves."""
+        return {n: k for n in range(1 << level, 2 << level) for k in [self.leaves.get(n, (0, 1))[1]] if k > 1}
+
+    def divide(self, node, dimension, cut):
+        self.split[node], self.cut[node] = self.dimensions.index(dimension) + 1, cut
+        first, k = self.leaves[node]
+        self.leaves[2 * node], self.leaves[2 * node + 1] = (first, k // 2), (first + k // 2, k - k // 2)
+
+    def node_of(self, levels):
+        """The node that a row has reached after so many levels."""
+        if not levels:
+            return F.lit(1).cast("long")
+        split, cut = _constant(self.split[1 : 1 << levels]), _constant(self.cut[1 : 1 << levels])
+        keys = F.array(*[f"key_{d}" for d in self.dimensions])
+
+        def step(node, _):
+            beyond = _at(keys, _at(split, node)) >= _at(cut, node)
+            return F.when(_at(split, node) > 0, 2 * node + beyond.cast("long")).otherwise(node)
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.lit(1).cast("long"), step)
+
+    def leaf_of(self):
+        first = [self.leaves.get(n, (0, 0))[0] for n in range(1, len(self.split))]
+        return _at(_constant(first), self.node_of(self.depth)).cast("int")
+
+
+def _medians(rows, wanted, dimensions):
+    """The key that leaves `target` bytes below it, for each node of a level.
+
+    wanted: node -> (dimension, low, high, target, bytes). rows have a column `node`.
     """
-    found, open_nodes = {}, {n: (d, lo, hi, target, 0, whole) for n, (d, lo, hi, target, whole) in wanted.items()}
-    while open_nodes:
-        place = F.lit(None).cast("long")
-        for n, (d, lo, hi, *_rest) in open_nodes.items():
-            step = max(1, -(-(hi - lo) // INTERVALS))
-            key = F.col(f"key_{d}")
-            inside = (F.col("node") == n) & (key >= lo) & (key < hi)
-            place = F.when(inside, F.floor((key - lo) / F.lit(step)).cast("long")).otherwise(place)
-        sums = (
-            rows.select("node", place.alias("place"), "size")
-            .where(F.col("place").isNotNull())
-            .groupBy("node", "place")
-            .agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
-            .collect()  # at most INTERVALS rows for each node
+    found, state = {}, {n: (d, lo, hi, target, 0, whole) for n, (d, lo, hi, target, whole) in wanted.items()}
+    base, last = min(wanted), max(wanted)
+    none = ("", 0, 0, 0, 0, 0)
+    keys = F.array(*[f"key_{d}" for d in dimensions])
+    while state:
+        line = [state.get(n, none) for n in range(base, last + 1)]
+        steps = {n: max(1, -(-(hi - lo) // INTERVALS)) for n, (_, lo, hi, *_rest) in state.items()}
+        columns = {
+            "d": [dimensions.index(x[0]) + 1 if x[0] else 0 for x in line],
+            "low": [x[1] for x in line],
+            "high": [x[2] for x in line],
+            "step": [steps.get(n, 1) for n in range(base, last + 1)],
+            # Bytes are whole numbers, so it is the same to reach the target or the next whole number.
+            "left": [math.ceil(x[3]) - x[4] for x in line],
+        }
+        place = F.col("node") - (base - 1)
+        values = [_at(_constant(v), place).alias(c) for c, v in columns.items()]
+        looked = rows.where(F.col("node").between(base, last)).select("node", "size", keys.alias("keys"), *values)
+        key = _at(F.col("keys"), F.col("d"))
+        inside = looked.where(F.col("d") > 0).withColumn("key", key).where("key >= low AND key < high")
+        sums = inside.groupBy("node", F.expr("(key - low) div step").alias("place")).agg(
+            F.sum("size").alias("bytes"), F.count("*").alias("rows"), F.first("left").alias("left")
+        )
+        upto = F.sum("bytes").over(Window.partitionBy("node").orderBy("place"))
+        hits = (
+            sums.withColumn("upto", upto)
+            .where(F.col("upto") >= F.col("left"))
+            .groupBy("node")
+            .agg(F.min_by(F.struct("place", "bytes", "rows", "upto"), "place").alias("hit"))
+            .collect()  # a row for each node
         )
+        hits = {r["node"]: r["hit"] for r in hits}
         still = {}
-        for n, (d, lo, hi, target, below, whole) in open_nodes.items():
-            step = max(1, -(-(hi - lo) // INTERVALS))
-            for r in sorted((r for r in sums if r["node"] == n), key=lambda r: r["place"]):
-                if below + r["bytes"] < target:
-                    below += r["bytes"]
-                    continue
-                begin = lo + r["place"] * step
-                if r["rows"] == 1 or step == 1 or r["bytes"] <= TOLERANCE * whole:
-                    nearer_end = target - below > below + r["bytes"] - target
-                    found[n] = (begin + step) if nearer_end else begin
-                else:
-                    still[n] = (d, begin, min(begin + step, hi), target, below, whole)
-                break
-            else:
+        for n, (d, lo, hi, target, below, whole) in state.items():
+            hit, step = hits.get(n), steps[n]
+            if hit is None:
                 found[n] = hi
-        open_nodes = still
+                continue
+            begin, below = lo + hit["place"] * step, below + hit["upto"] - hit["bytes"]
+            if hit["rows"] == 1 or step == 1 or hit["bytes"] <= TOLERANCE * whole:
+                nearer_end = target - below > below + hit["bytes"] - target
+                found[n] = (begin + step) if nearer_end else begin
+            else:
+                still[n] = (d, begin, min(begin + step, hi), target, below, whole)
+        state = still
     return found
 
 
@@ -113,67 +167,23 @@ def kd_shards(docs: DataFrame, target_bytes=None, shards=None, dimensions=DIMENS
     rows = coordinates(docs)
     whole = rows.agg(F.sum("size")).first()[0] or 0
     leaves = shards or max(1, math.ceil(whole / target_bytes))
-    trees, todo = {0: None}, {0: (0, leaves)}  # node -> (first leaf, number of leaves)
-    root = [None]
-    places = {0: (root, 0)}
-    done = 0
-    while todo:
-        ready = {n: v for n, v in todo.items() if v[1] > 1}
-        for n, (first, k) in todo.items():
-            if k == 1:
-                holder, at = places[n]
-                holder[at] = ("leaf", first)
-        if not ready:
-            break
-        names = {n: i for i, n in enumerate(ready)}
-        placed = rows.withColumn("node", _open_node(root[0], names))
-        spread = (
-            placed.where(F.col("node").isNotNull())
-            .groupBy("node")
-            .agg(F.sum("size").alias("bytes"),
-                 *[f(f"key_{d}").alias(f"{f.__name__}_{d}") for d in dimensions for f in (F.min, F.max)])
-            .collect()
-        )
+    tree = _Tree(leaves, dimensions)
+    for level in range(tree.depth):
+        ready = tree.open_nodes(level)
+        placed = rows.withColumn("node", tree.node_of(level))
+        bounds = [f(f"key_{d}").alias(f"{f.__name__}_{d}") for d in dimensions for f in (F.min, F.max)]
+        spread = placed.groupBy("node").agg(F.sum("size").alias("bytes"), *bounds).collect()  # a row for each node
         spread = {r["node"]: r for r in spread}
-        wanted, chosen = {}, {}
-        for n, (first, k) in ready.items():
-            r = spread.get(names[n])
-            if r is None:
-                chosen[n] = (dimensions[0], 0)
-                continue
-            d = max(dimensions, key=lambda d: (r[f"max_{d}"] >> BITS) - (r[f"min_{d}"] >> BITS))
-            wanted[names[n]] = (d, r[f"min_{d}"], r[f"max_{d}"] + 1, r["bytes"] * (k // 2) / k, r["bytes"])
-            chosen[n] = (d, None)
-        cuts = _medians(placed, wanted)
-        after = {}
-        for n, (first, k) in ready.items():
-            d, at = chosen[n]
-            split = [d, cuts.get(names[n], 0) if at is None else at, None, None]
-            holder, where = places[n]
-            holder[where] = split
-            for part, (begin, count) in enumerate(((first, k // 2), (first + k // 2, k - k // 2))):
-                done += 1
-                after[done] = (begin, count)
-                places[done] = (split, 2 + part)
-                split[2 + part] = ("open", done)
-        todo = after
-    return _with_slots(rows.withColumn("shard", _node_of(_closed(root[0]))), leaves)
-
-
-def _open_node(tree, names):
-    """The number of the open node that a row lies in; null in finished leaves."""
-    if tree is None:
-        return F.lit(0)
-    if tree[0] == "open":
-        return F.lit(names[tree[1]]) if tree[1] in names else F.lit(None).cast("int")
-    if tree[0] == "leaf":
-        return F.lit(None).cast("int")
-    d, at, low, high = tree
-    return F.when(F.col(f"key_{d}") < at, _open_node(low, names)).otherwise(_open_node(high, names))
-
-
-def _closed(tree):
-    return tree[1] if tree[0] == "leaf" else (tree[0], tree[1], _closed(tree[2]), _closed(tree[3]))
+        wanted = {}
+        for n, k in ready.items():
+            r = spread.get(n)
+            if r is not None:
+                d = max(dimensions, key=lambda d: (r[f"max_{d}"] >> BITS) - (r[f"min_{d}"] >> BITS))
+                wanted[n] = (d, r[f"min_{d}"], r[f"max_{d}"] + 1, r["bytes"] * (k // 2) / k, r["bytes"])
+        cuts = _medians(placed, wanted, dimensions) if wanted else {}
+        for n in ready:
+            tree.divide(n, wanted[n][0] if n in wanted else dimensions[0], cuts.get(n, 0))
+    return _with_slots(rows.withColumn("shard", tree.leaf_of()), leaves)
 
 
 def _with_slots(rows, leaves):
