@@ -97,11 +97,55 @@ def op8_secrets(spark, sf):
     return secrets(table(spark, sf, "documents").select("doc_id", "text"))
 
 
-@query("op5_jaccard")
+OP5_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM p JOIN c x ON x.doc_id = a JOIN c y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM d JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+LEFT JOIN c USING (doc_id) LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a) USING (doc_id)
+"""
+
+
+@query("op5_jaccard", OP5_SQL)
 def op5_jaccard(spark, sf):
     return near_copies(table(spark, sf, "documents"))
 
 
-@query("op7_suffix_dedup")
+# Each 100-byte string by its digest; bytes as pairs of hexadecimal digits.
+OP7_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+k AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS g
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d WHERE len(h) >= 200)),
+later AS (
+  SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before
+  FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS nth FROM k) WHERE nth > 1),
+numbered AS (
+  SELECT doc_id, i, sum(CASE WHEN i <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM later),
+runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM runs),
+cut AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS z,
+    string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS front
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(z, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+
+@query("op7_suffix_dedup", OP7_SQL)
 def op7_suffix_dedup(spark, sf):
     return dedup(table(spark, sf, "documents")).drop("removed")
