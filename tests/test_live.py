@@ -116,3 +116,12 @@ def test_stamp(spark):
     got = ingest.stamp_fetched(df, 9).collect()
     assert [(r["created_utc"], r["fetched_at"]) for r in got] == [(5, 9), (9, 9)]
     assert ingest.stamp_fetched(df).where("fetched_at > 1700000000").count() == 2
+
+
+def test_only_texts_that_become_the_best_are_cleaned(spark, monkeypatch):
+    """A text that never leads is not cleaned: here that would raise an error."""
+    clean = live.excerpt
+    monkeypatch.setattr(live, "excerpt", lambda c: F.when(F.col(c) == "low", F.raise_error(F.lit("cleaned"))).otherwise(clean(c)))
+    rows = [(1, "high", "p", 0.1, 2.0), (2, "low", "p", 0.1, 1.0)]
+    df = spark.createDataFrame(rows, "id long, text string, permalink string, compound double, score double").coalesce(1)
+    assert live.live_points(df, F.timestamp_seconds(F.col("score") * 0)).first().top_text == "high"
