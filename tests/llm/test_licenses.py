@@ -90,3 +90,34 @@ def test_every_sentence_has_a_derived_cue():
     known = {lic.plain_normalised(t) for _, t in lic.SENTENCES} | {"a", "of it"}
     pattern = re.compile(lic.cues(known))
     assert all(pattern.search(s) for s in known)
+
+
+def by_lists(lines):
+    """Identifiers and licences of one sentence a line, by dictionaries and lists."""
+    known = {}
+    for number, sentence in lic.SENTENCES:
+        known.setdefault(" ".join("".join(c if c.isalnum() else " " for c in sentence.lower()).split()), number)
+    ids = [known[key] for key in (" ".join("".join(c if c.isalnum() else " " for c in x.lower()).split()) for x in lines) if key in known]
+    rest, found = list(ids), []
+    for licence, order in lic.RULES:
+        i = 0
+        while i + len(order) <= len(rest):
+            if rest[i : i + len(order)] == order:
+                rest[i : i + len(order)] = [None]
+                found += [licence] if licence not in found else []
+            i += 1
+    return ",".join(ids), ",".join(found), len(found)
+
+
+def test_against_lists(frame, rng):
+    other = ["Some other sentence.", "The mill stands by the river!", "released under the sea.", "12 apples"]
+    texts = []
+    for _ in range(200):
+        lines = [rng.choice(lic.SENTENCES)[1] if rng.random() < 0.7 else rng.choice(other) for _ in range(rng.randint(0, 9))]
+        for _ in range(rng.randint(0, 2)):  # whole sequences, so that long rules match too
+            at = rng.randint(0, len(lines))
+            lines[at:at] = [TEXT[k] for k in rng.choice(lic.RULES)[1]]
+        # Not those with a colon, which closes a sentence before a capital.
+        texts.append([x.upper() if rng.random() < 0.2 and ":" not in x else x for x in lines])
+    want = [by_lists(lines) for lines in texts]
+    assert scan(frame, ["\n".join(lines) for lines in texts]) == want and len({w[1] for w in want}) > 20
