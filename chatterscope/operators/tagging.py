@@ -14,12 +14,13 @@ from chatterscope.functions.lookup import (
     join_method,
     literal_lookup,
 )
-from chatterscope.functions.terms import TermIndex, text_bytes
+from chatterscope.functions.terms import TermFilter, TermIndex, filter_slots, stretch_texts, text_bytes, text_parts
 from chatterscope.functions.text import brand_hit, lower_contains_any
+from chatterscope.session import scratch_path
 
-# In the join form terms are found through their first characters; longer prefixes make fewer false
-# candidates. So many characters travel with a candidate; longer terms are compared with the text.
-_GRAM, _SPAN = 4, 48
+# Bits of the filter of the join form, as powers of two: 16 for each term, within these limits.
+_LEAST_BITS, _MOST_BITS = 16, 27
+_NO_STRETCH = pa.table({"row": pa.array([], pa.int64()), "span": pa.array([], pa.string())})
 
 
 class KeywordTables(NamedTuple):
@@ -34,57 +35,62 @@ class KeywordTables(NamedTuple):
     hints: DataFrame | None = None
 
 
+def _term_filter(terms, term):
+    """A TermFilter of a table of terms, made by its tasks; None if there are none."""
+    terms = terms.select(F.col(term).alias("term")).where(F.octet_length("term") > 0)
+    rows, lengths = terms.agg(F.count(F.lit(1)), F.collect_set(F.octet_length("term"))).first()
+    if not rows:
+        return None
+    bits = max(_LEAST_BITS, min(_MOST_BITS, (16 * rows).bit_length()))
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(filter_slots(batch.column(0), bits))], ["slot"])
+
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(F.lit(63)).cast("int"))
+    slots = terms.mapInArrow(run, "slot long")
+    held = slots.groupBy(F.shiftright("slot", 6).alias("place")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    words = np.zeros(1 << (bits - 6), np.uint64)
+    words[held.column("place").to_numpy()] = held.column("bits").to_numpy().view(np.uint64)
+    return TermFilter(words, lengths)
+
+
 def substring_join(left, key, text, terms, term):
     """Pairs of left rows and term rows where the text contains the term.
 
-    An equi-join instead of a nested loop: every place of the text offers its first characters as
-    a join key, and the few candidates are checked against the following characters, which travel
-    with the key. Both sides may be large, and frequent keys can be split by adaptive execution.
-    `terms` must be lowercase and non-empty; returns key, and all columns of `terms`, distinct. Rows
-    of one key must have one text.
+    An equi-join instead of a nested loop: the stretches of a text that may be terms, by a filter of fixed size that every
+    executor holds, are joined with the terms. Little else than what is found is shuffled, both sides may be large, and frequent
+    keys can be split by adaptive execution. `terms` must be lowercase and non-empty; returns key, and all columns of
+    `terms`, distinct. Rows of one key must have one text.
     """
-    sizes = terms.agg(
-        F.max(F.length(term)).alias("longest"),
-        F.collect_set(F.least(F.length(term), F.lit(_GRAM))).alias("prefixes"),
-    ).first()
-    if not sizes["longest"]:
+    held = _term_filter(terms, term)
+    if held is None:
         nothing = StructType([left.schema[key], *terms.schema.fields])
         return left.sparkSession.createDataFrame([], nothing)
-    longest, prefixes = sizes["longest"], sorted(sizes["prefixes"])
-
-    # A look-ahead matches at every place without consuming anything, so this is one pass over the
-    # text. Halves of surrogate pairs are no places.
-    span = rf"(?s)(?=([^\x{{D800}}-\x{{DFFF}}].{{0,{min(longest, _SPAN) - 1}}}))"
-    places = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(span), F.lit(1)))
-    spans = left.select(F.col(key), F.explode(places).alias("_span"))
-    grams = spans.select(
-        key,
-        "_span",
-        F.explode(F.array(*[F.lit(p) for p in prefixes])).alias("_size"),
-    ).select(key, "_span", "_size", F.left("_span", "_size").alias("_gram"))
-    known = terms.withColumns(
-        {
-            "_term_size": F.least(F.length(term), F.lit(_GRAM)),
-            "_term_gram": F.left(F.col(term), F.lit(_GRAM)),
-        }
-    )
-    same = (
-        (F.col("_gram") == F.col("_term_gram"))
-        & (F.col("_size") == F.col("_term_size"))
-        & F.startswith(F.col("_span"), F.left(F.col(term), F.lit(_SPAN)))
-    )
-    pairs = grams.join(known.hint(join_method(terms)), same).select(key, *terms.columns).distinct()
-    if longest <= _SPAN:
-        return pairs
-    whole = left.select(F.col(key).alias("_key"), F.lower(text).alias("_whole"))
-    long = pairs.where(F.length(term) > _SPAN).join(whole, F.col(key) == F.col("_key"))
-    long = long.where(F.contains("_whole", F.col(term))).select(*pairs.columns).distinct()
-    return pairs.where(F.length(term) <= _SPAN).unionByName(long)
+    shared = left.sparkSession.sparkContext.broadcast(held)
+
+    @F.arrow_udf("array<string>")
+    def stretches(texts: pa.Array) -> pa.Array:
+        offsets, data = text_bytes(texts)
+        parts = [_NO_STRETCH]
+        for i, j in text_parts(offsets):
+            row, begin, end = shared.value.find(offsets[i : j + 1], data)
+            found = pa.table({"row": row + i, "span": stretch_texts(data, begin, end)})
+            parts.append(found.group_by(["row", "span"], use_threads=False).aggregate([]).sort_by("row"))
+        found = pa.concat_tables(parts).combine_chunks()
+        ends = np.searchsorted(found.column("row").to_numpy(), np.arange(len(texts) + 1))
+        spans = pa.concat_arrays([pa.array([], pa.string()), *found.column("span").chunks])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans)
+
+    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
+    spans = left.select(F.col(key), F.explode(stretches(lowered)).alias("_span"))
+    pairs = spans.join(terms.hint(join_method(terms)), F.col("_span") == F.col(term))
+    return pairs.select(key, *terms.columns).distinct()
 
 
 def _found_by_index(df, name, terms, value, text):
     """By an index of all terms at every executor, in one pass over each batch of texts."""
-    held = terms.orderBy("position", value, "term").toArrow()  # measured: see is_small
+    held = terms.toArrow()  # measured: see is_small
     position, names = held.column("position").to_pylist(), held.column(value).to_pylist()
     order = {pair: i for i, pair in enumerate(sorted(set(zip(position, names))))}
     ranks = np.array([order[pair] for pair in zip(position, names)], np.int64)
@@ -129,6 +135,11 @@ def found_terms(df, name, terms, term, value, text="text", method=None):
         known = known.withColumn(value, F.col("term"))
     if method is None:
         method = "index" if df.isStreaming or is_small(known) else "join"
+        if method == "join":
+            # Read several times, so worked out once.
+            path = scratch_path(df.sparkSession, "terms")
+            known.write.parquet(path)
+            known = df.sparkSession.read.schema(known.schema).parquet(path)
     return {"index": _found_by_index, "join": _found_by_join}[method](df, name, known, value, text)
 
 

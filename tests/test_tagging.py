@@ -164,3 +164,13 @@ def test_config_frames(spark):
     dims = config_frames(spark, CFG)
     assert [r["event"] for r in dims["event_dim"].orderBy("position").collect()] == ["launch", "beta", "drop", "leak"]
     assert dims["keyword_dim"].count() == 4
+
+
+def test_tables_too_large_to_copy_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr("chatterscope.functions.lookup.MAX_BROADCAST_ROWS", 3)
+    terms = [(i, f"c{i}", k) for i, k in enumerate(["ab", "é", "abc" * 30, "bcab", "", "zz", None, "aB"])]
+    terms = spark.createDataFrame(terms, "position int, canonical string, keyword string")
+    texts = [("xAby",), (None,), ("",), ("abc" * 40,), ("été",), ("nothing",), ("xAby",)]
+    found = tagging.match_terms(spark.createDataFrame(texts, "text string"), terms).collect()
+    want = {"xAby": ["c0", "c7"], None: [], "": [], "abc" * 40: ["c0", "c2", "c3", "c7"], "été": ["c1"], "nothing": []}
+    assert len(found) == 7 and all(r["brands"] == want[r["text"]] for r in found)
