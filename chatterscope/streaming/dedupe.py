@@ -1,8 +1,11 @@
 """Dropping repeated posts in a stream."""
 
+import heapq
 import time
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -47,27 +50,30 @@ def dedupe_bounded(df, bound=100_000, keys=("type", "id"), shards=64, max_age=No
         return "\x1f".join("\0" if pd.isna(v) else str(v) for v in row)
 
     def first_in_batch(batches):
-        for pdf in batches:
-            yield pdf.drop_duplicates(names)
+        # Only the keys become Python objects; texts stay in Arrow.
+        for batch in batches:
+            again = batch.select(names).to_pandas().duplicated().to_numpy()
+            yield batch.filter(pa.array(~again)) if again.any() else batch
 
     def remember(key, frames, state):
         now = float(clock())
         known = list(zip(*state.get)) if state.exists else []
         if max_age is not None:
             known = [(n, t) for n, t in known if t >= now - max_age]
-        old, fresh, kept = {n for n, _ in known}, set(), []
+        old, fresh = {n for n, _ in known}, set()
+        # Rows leave as they come; only names are held until the end.
         for pdf in frames:
             labels = pd.Series([label(row) for row in pdf[names].itertuples(index=False)], pdf.index, dtype=object)
-            new = ~labels.isin(old | fresh) & ~labels.duplicated()
+            unknown = np.array([n not in old and n not in fresh for n in labels], bool)
+            new = ~labels.duplicated() & unknown
             fresh.update(labels[new])
-            kept.append(pdf[new].drop(columns="_share"))
-        known = (known + [(n, now) for n in sorted(fresh)])[-limit:]
+            yield pdf[new].drop(columns="_share")
+        known = (known + [(n, now) for n in sorted(heapq.nlargest(limit, fresh))])[-limit:]
         if known:
             state.update(tuple(map(list, zip(*known))))
         elif state.exists:
             state.remove()
-        yield from kept
 
-    dealt = texts.mapInPandas(first_in_batch, texts.schema).withColumn("_share", share)
+    dealt = texts.mapInArrow(first_in_batch, texts.schema).withColumn("_share", share)
     unique = dealt.groupBy("_share").applyInPandasWithState(remember, texts.schema, _SEEN, "append", "NoTimeout")
     return unique.withColumns({c: F.col(c).cast(kind) for c, kind in whole.items()})

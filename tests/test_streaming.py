@@ -1,6 +1,7 @@
 import json
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,3 +274,31 @@ def test_dedupe_bounded_by_age_and_after_a_restart(spark, feed):
         start_ndjson_sink(unique, feed.dir("out"), feed.dir("check"), once=True).awaitTermination()
     got = sorted(r["id"] or "" for r in read_posts(spark, feed.dir("out")).collect())
     assert got == ["", "", "a", "a", "b", "b", "n0", "n101", "n50"]
+
+
+def test_dedupe_bounded_holds_no_rows_back(spark, monkeypatch):
+    """A share gives the rows of a frame before it asks for the next one."""
+    taken = {}
+    monkeypatch.setattr(
+        "pyspark.sql.pandas.group_ops.PandasGroupedOpsMixin.applyInPandasWithState",
+        lambda self, run, *rest: taken.update(run=run) or spark.createDataFrame([], "type string, id string, text string"),
+    )
+    dedupe_bounded(spark.createDataFrame([], "type string, id string, text string"), 2, shards=1)
+
+    class State:
+        exists, get, held = False, None, None
+
+        def update(self, value):
+            self.held = value
+
+    asked, state = [], State()
+
+    def frames():
+        for i in range(3):
+            asked.append(i)
+            yield pd.DataFrame({"type": "c", "id": [f"{i}", "same"], "text": "t", "_share": 0})
+
+    rows = taken["run"]((0,), frames(), state)
+    assert next(rows)["id"].tolist() == ["0", "same"] and asked == [0]
+    assert [r["id"].tolist() for r in rows] == [["1"], ["2"]] and asked == [0, 1, 2]
+    assert state.held[0] == ["c\x1f2", "c\x1fsame"]
