@@ -11,12 +11,13 @@ from chatterscope.operators.serving import select_tops
 from chatterscope.operators.tagging import explode_brands, has_brand, tag_posts
 from chatterscope.schema import SCORED_SCHEMA
 from chatterscope.session import pin_utc
-from chatterscope.sinks.tables import write_daily, write_posts, write_tops
+from chatterscope.sinks.tables import dealt, write_daily, write_posts, write_tops
 from chatterscope.sources.posts import read_posts
 from chatterscope.sources.tables import read_posts_table
 
 # What only posts with a brand need to carry through the dedupe shuffle.
 _HEAVY = ("text", "url", "author", "event_tags")
+_DAY = ("year", "month", "day")
 
 
 def tagged_posts(posts, cfg, year=None, tables=None):
@@ -34,8 +35,11 @@ def tagged_posts(posts, cfg, year=None, tables=None):
 
 def scored_posts(posts, cfg, lexicon, year=None, rules=None, scorer=None, tables=None):
     """One row per post and brand, with sentiment. Each post is scored once."""
-    scored = score_posts(tagged_posts(posts, cfg, year, tables), lexicon, rules, scorer)
-    return explode_brands(scored)
+    return explode_brands(_unique_scored(posts, cfg, lexicon, year, rules, scorer, tables))
+
+
+def _unique_scored(posts, cfg, lexicon, year, rules, scorer, tables):
+    return score_posts(tagged_posts(posts, cfg, year, tables), lexicon, rules, scorer)
 
 
 def daily_from_posts(posts, cfg, lexicon, year=None, rules=None, tables=None):
@@ -68,12 +72,15 @@ def run_batch(spark, source, base, cfg, lexicon, year=None, rules=None, scorer=N
     """Write the three tables. The aggregates are built from the written posts, not from the input,
     so the input is read, tagged and scored once, and lost executors cost no more than their tasks.
     Brands and events come from `cfg`, or from keyword `tables`.
+
+    Posts are dealt to the writers by day, before there is a row for each brand, so a text is moved once whatever its
+    brands; top posts are written by the tasks that read them from the folders of a day.
     """
     pin_utc(spark)
     posts = source if not isinstance(source, str) else read_posts(spark, source)
-    scored = scored_posts(posts, cfg, lexicon, year, rules, scorer, tables)
-    write_posts(scored.select(*SCORED_SCHEMA.names), base)
+    scored = dealt(_unique_scored(posts, cfg, lexicon, year, rules, scorer, tables), _DAY)
+    write_posts(explode_brands(scored).select(*SCORED_SCHEMA.names), base, grouped=True)
     written = read_posts_table(spark, base)
     write_daily(daily_aggregate(written), base)
-    write_tops(select_tops(monthly_top(written)), base)
+    write_tops(select_tops(monthly_top(written)), base, grouped=True)
     return base

@@ -8,22 +8,29 @@ DAILY_TABLE = "aggregates_daily"
 TOPS_TABLE = "top_posts_monthly"
 
 
+def dealt(df, partitions):
+    """Rows grouped by folder like a repartition, but adaptive execution may split a folder that holds a large share of all
+    rows over several writers."""
+    return df.hint("rebalance", *partitions)
+
+
 def _write(df, path, partitions):
-    # Rebalancing groups rows by folder like a repartition, but lets adaptive execution split a
-    # folder that holds a large share of all rows over several writers.
-    df.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions).parquet(path)
+    df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
     return path
 
 
-def write_posts(df, base):
+def write_posts(df, base, grouped=False):
+    """`grouped` rows come from few folders in each task already, and are written where they are."""
+    df = df if grouped else dealt(df, POSTS_PARTITIONS)
     return _write(df, f"{base}/{POSTS_TABLE}", POSTS_PARTITIONS)
 
 
 def write_daily(df, base):
-    return _write(with_month(df), f"{base}/{DAILY_TABLE}", DAILY_PARTITIONS)
+    return _write(dealt(with_month(df), DAILY_PARTITIONS), f"{base}/{DAILY_TABLE}", DAILY_PARTITIONS)
 
 
-def write_tops(df, base):
+def write_tops(df, base, grouped=False):
+    df = df if grouped else dealt(df, TOPS_PARTITIONS)
     return _write(df, f"{base}/{TOPS_TABLE}", TOPS_PARTITIONS)
 
 

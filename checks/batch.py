@@ -349,7 +349,7 @@ def daily_sink(spark, sf):
 def tops_sink(spark, sf):
     base = scratch_path(spark, "tops")
     stored = sources.read_posts_table(spark, written(spark, sf))
-    sinks.write_tops(serving.select_tops(ranking.monthly_top(stored)), base)
+    sinks.write_tops(serving.select_tops(ranking.monthly_top(stored)), base, grouped=True)
     return _shown(sources.read_tops(spark, base))
 
 
