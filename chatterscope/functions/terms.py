@@ -254,6 +254,12 @@ class TermFilter:
         slot = _slots(hashes, self.bits)
         return ((self.words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
 
+    def maybe(self, words):
+        """Of each word of an Arrow array without empty ones, whether it may be a term."""
+        offsets, data = text_bytes(words)
+        lengths = np.diff(offsets)
+        return self._holds(_term_hashes(data[offsets[0] : offsets[-1]], lengths, _gram_sizes(lengths))[0])
+
     def find(self, offsets, data):
         """(text, begin, end in data) of the stretches, as three arrays; offsets and data as of `text_bytes`."""
         found = [np.zeros((3, 0), np.int64)]

@@ -24,6 +24,17 @@ def bare(word):
     return core if len(core) > 2 else word
 
 
+def split_words(texts):
+    """(offsets, words) of an Arrow array of texts, words as a dictionary array."""
+    lists = pc.utf8_split_whitespace(texts.fill_null(""))
+    offsets = np.asarray(lists.offsets, np.int64)
+    flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+    offsets = offsets - offsets[0]
+    filled = np.asarray(pc.not_equal(flat, ""))
+    offsets = np.concatenate([[0], np.cumsum(filled)])[offsets]
+    return offsets, flat.filter(pa.array(filled)).dictionary_encode()
+
+
 class Vocabulary:
     """What the rules know of words."""
 
@@ -44,13 +55,7 @@ class Vocabulary:
 
     def totals(self, texts):
         """The sum of the weighted valences of each text of an Arrow array."""
-        lists = pc.utf8_split_whitespace(texts.fill_null(""))
-        offsets = np.asarray(lists.offsets, np.int64)
-        flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
-        offsets = offsets - offsets[0]
-        filled = np.asarray(pc.not_equal(flat, ""))
-        offsets = np.concatenate([[0], np.cumsum(filled)])[offsets]
-        coded = flat.filter(pa.array(filled)).dictionary_encode()
+        offsets, coded = split_words(texts)
         codes = np.asarray(coded.indices)
         out = np.zeros(len(texts))
         if not len(codes):
@@ -92,7 +97,7 @@ class Vocabulary:
         return np.bincount(row, value, minlength=len(texts))
 
 
-def _pieces(texts):
+def pieces(texts):
     """Parts of an Arrow array of about PIECE characters."""
     ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64))
     begin = 0
@@ -103,12 +108,40 @@ def _pieces(texts):
         begin = end
 
 
+def word_hits(keys, texts, rules, maybe):
+    """A row for each word that `maybe` holds (a function of different words as an Arrow array), with its three predecessors."""
+    offsets, coded = split_words(texts)
+    codes, raw = np.asarray(coded.indices), coded.dictionary.to_pylist()
+    words = pa.array([bare(w.lower()) for w in raw], pa.string())
+    capital = np.array([w != w.lower() and w == w.upper() for w in raw], bool)
+    hit = np.nonzero(maybe(words)[codes])[0]
+    row = np.searchsorted(offsets, hit, "right") - 1
+    shouted = np.concatenate([[0], np.cumsum(capital[codes])])
+    mixed = shouted[offsets[1:]] - shouted[offsets[:-1]] < np.diff(offsets)
+    # The first contrast word of each text, from 1; 0 without one.
+    turns = np.nonzero(np.asarray(pc.equal(words, rules.contrast))[codes])[0]
+    first = np.append(turns, len(codes))[np.searchsorted(turns, offsets[:-1])]
+    cut = np.where(first < offsets[1:], first - offsets[:-1] + 1, 0)
+    columns = {
+        "key": keys.take(pa.array(row)),
+        "place": pa.array(hit - offsets[row] + 1, pa.int32()),
+        "cut": pa.array(cut[row], pa.int32()),
+    }
+    for back in range(4):
+        inside = hit - back >= offsets[row]
+        before = codes[np.maximum(hit - back, 0)]
+        loud = capital[before] & mixed[row] & inside
+        found = [words.take(pa.array(before, mask=~inside)), pa.array(loud)]
+        columns[f"w{back}"] = pa.StructArray.from_arrays(found, ["word", "capital"])
+    return pa.RecordBatch.from_pydict(columns)
+
+
 def distinct_words(df, text="text"):
     """word: the words of a frame of texts as the rules see them, each once; made distinct per batch before they are shuffled."""
 
     def run(batches):
         for batch in batches:
-            for piece in _pieces(batch.column(0)):
+            for piece in pieces(batch.column(0)):
                 found = pc.utf8_split_whitespace(piece.fill_null("")).flatten().unique().to_pylist()
                 yield pa.RecordBatch.from_arrays([pa.array(list({bare(w.lower()) for w in found if w}), pa.string())], ["word"])
 
@@ -123,7 +156,7 @@ def compound_by_vocabulary(text, lexicon, rules=None):
     @F.arrow_udf("double")
     def total(texts: pa.Array) -> pa.Array:
         vocabulary = shared.value
-        return pa.array(np.concatenate([np.zeros(0), *[vocabulary.totals(piece) for piece in _pieces(texts)]]))
+        return pa.array(np.concatenate([np.zeros(0), *[vocabulary.totals(piece) for piece in pieces(texts)]]))
 
     text = F.coalesce(_col(text), F.lit(""))
     return normalized(total(text), punctuation_emphasis(text, rules), rules)

@@ -1,18 +1,16 @@
 """Scoring frames of posts: expression form, table form, external scorers and provider answers."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StructField, StructType
 
 from chatterscope.functions.lookup import is_small, join_method, literal_lookup
 from chatterscope.functions.responses import parse_response
 from chatterscope.functions.sentiment import (
     Rules,
     after_previous_word,
-    bare_words,
-    bind,
-    capital_at,
-    capital_words,
     contrast_weight,
     event_hit,
     is_negator,
@@ -22,7 +20,8 @@ from chatterscope.functions.sentiment import (
     toward,
 )
 from chatterscope.functions.text import provider_label, strip_ws
-from chatterscope.functions.vocabulary import compound_by_vocabulary, distinct_words
+from chatterscope.functions.vocabulary import compound_by_vocabulary, distinct_words, pieces, word_hits
+from chatterscope.operators.tagging import term_filter
 
 
 def one_per_token(lexicon):
@@ -92,34 +91,28 @@ def score_posts(df, lexicon=None, rules=None, scorer=None, key="id", text="text"
     return with_labels(df.withColumn("compound", compound_by_vocabulary(text, words, rules)))
 
 
-def word_rows(df, key, text, rules):
-    """One row per word with its three predecessors, all that the rules look at."""
-    body = F.coalesce(F.col(text), F.lit(""))
+def word_rows(df, key, text, rules, tokens):
+    """One row per word that may be one of `tokens` (a frame of one column), with its three predecessors, all that the rules look at.
 
-    def describe(words, capitals, cut):
-        def at(i, back):
-            place = i - back
-            return F.struct(
-                F.get(words, place).alias("word"), capital_at(capitals, place).alias("capital")
-            )
-
-        return F.transform(
-            words,
-            lambda _, i: F.struct(
-                (i + 1).alias("place"),
-                cut.alias("cut"),
-                *[at(i, back).alias(f"w{back}") for back in range(4)],
-            ),
-        )
+    Words are passed over by a filter of fixed size, whatever the number of tokens; a few that are no tokens remain.
+    """
+    held = term_filter(tokens, tokens.columns[0])
+    shared = df.sparkSession.sparkContext.broadcast(held)
 
-    def described(words, capitals):
-        cut = F.array_position(words, rules.contrast).cast("int")
-        return bind(cut, lambda c: describe(words, capitals, c))
+    def run(batches):
+        held = shared.value
+        for batch in batches:
+            begin = 0
+            for texts in pieces(batch.column(1)):
+                keys = batch.column(0).slice(begin, len(texts))
+                begin += len(texts)
+                yield word_hits(keys, texts, rules, held.maybe if held else lambda words: np.zeros(len(words), bool))
 
-    # All that depends on the whole text is inside the exploded array, so it is worked out once per
-    # text and not again for each word.
-    rows = bind(bare_words(body), lambda w: bind(capital_words(body), lambda c: described(w, c)))
-    return df.select(F.col(key).alias("key"), F.explode(rows).alias("d")).select("key", "d.*")
+    word = StructType().add("word", "string").add("capital", "boolean")
+    schema = StructType([StructField("key", df.schema[key].dataType)]).add("place", "integer").add("cut", "integer")
+    for back in range(4):
+        schema = schema.add(f"w{back}", word)
+    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
 def score_by_join(df, lexicon, rules=None, key="id", text="text"):
@@ -150,7 +143,7 @@ def score_by_words(df, lexicon, rules=None, key="id", text="text"):
     lexicon = one_per_token(lexicon)
     method = join_method(lexicon)
     valences = lexicon.select(F.col("token").alias("word0"), "valence").hint(method)
-    hits = word_rows(df, key, text, rules).join(valences, F.col("w0.word") == F.col("word0"))
+    hits = word_rows(df, key, text, rules, lexicon.select("token")).join(valences, F.col("w0.word") == F.col("word0"))
     for back in (1, 2, 3):
         known = lexicon.select(
             F.col("token").alias(f"word{back}"), F.lit(True).alias(f"known{back}")

@@ -35,7 +35,7 @@ class KeywordTables(NamedTuple):
     hints: DataFrame | None = None
 
 
-def _term_filter(terms, term):
+def term_filter(terms, term):
     """A TermFilter of a table of terms, made by its tasks; None if there are none."""
     terms = terms.select(F.col(term).alias("term")).where(F.octet_length("term") > 0)
     rows, lengths = terms.agg(F.count(F.lit(1)), F.collect_set(F.octet_length("term"))).first()
@@ -63,7 +63,7 @@ def substring_join(left, key, text, terms, term):
     keys can be split by adaptive execution. `terms` must be lowercase and non-empty; returns key, and all columns of
     `terms`, distinct. Rows of one key must have one text.
     """
-    held = _term_filter(terms, term)
+    held = term_filter(terms, term)
     if held is None:
         nothing = StructType([left.schema[key], *terms.schema.fields])
         return left.sparkSession.createDataFrame([], nothing)

@@ -172,3 +172,14 @@ def test_provider_falls_back(spark):
     plain = scoring.with_provider(df, "lexicon", LEXICON)
     assert "relevancy" not in plain.columns
     assert plain.where(F.col("i") == 1).first()["compound"] == 0.4404
+
+
+def test_only_words_that_may_be_tokens_get_a_row(spark):
+    texts = [(1, "one two three good, five SIX but bad"), (2, None), (None, "good"), (4, "nothing here " * 500)]
+    df = spark.createDataFrame(texts, "id long, text string")
+    tokens = spark.createDataFrame([("good",), ("bad",), (None,), ("",)], "token string")
+    rows = scoring.word_rows(df, "id", "text", Rules(), tokens)
+    hits = [tuple(r[:3]) + (r["w0"][0], r["w1"][0], r["w2"][1]) for r in rows.collect() if r["w0"][0] in ("good", "bad")]
+    assert rows.count() < 20 and len(hits) == 3
+    assert {h[0]: h for h in hits if h[3] == "good"} == {1: (1, 4, 7, "good", "three", False), None: (None, 1, 0, "good", None, False)}
+    assert [h for h in hits if h[3] == "bad"] == [(1, 8, 7, "bad", "but", True)]
