@@ -154,3 +154,19 @@ def test_backfill_writes_nothing_for_nothing(spark, tmp_path, posts):
     assert not (tmp_path / "backfill").exists()
     assert write_backfill(posts(_line(1, JAN, "Über")), path) == path
     assert read_posts(spark, path).first()["text"] == "Über"
+
+
+def test_texts_are_moved_once_for_all_brands_and_not_for_tops(spark, tmp_path, monkeypatch):
+    from chatterscope.sinks import tables as sinks
+
+    plans, write = {}, sinks._write
+
+    def spied(df, path, *more):
+        plans[path.rsplit("/", 1)[1]] = df._jdf.queryExecution().analyzed().toString()
+        return write(df, path, *more)
+
+    monkeypatch.setattr(sinks, "_write", spied)
+    base = run_batch(spark, _ingest(tmp_path), str(tmp_path / "out"), CFG, LEXICON)
+    posts, tops = plans["posts"], plans["top_posts_monthly"]
+    assert posts.index("Generate explode(brands") < posts.index("RebalancePartitions")
+    assert "RebalancePartitions" not in tops and tables.read_tops(spark, base).count() > 0
