@@ -5,8 +5,10 @@
 2. A task makes a table for each group of eight dimensions: the sum of an anchor's components over each of the 256 subsets.
    The vectors' integers are cut into bit planes, and a plane's bits of eight dimensions packed into a byte, which is an
    index into the table. Doubling and adding the looked-up sums from the highest plane down gives the full inner products.
+   The sums of a plane are added up in 16 bits where the anchors' components allow it.
 3. Pass one keeps each anchor's best rows of its own label: best of a task, then best of all. With the scores of these
-   positives known, pass two keeps the best rows of other labels inside each positive's band of scores.
+   positives known, pass two keeps the best rows of other labels inside each positive's band of scores. Anchors and the rows
+   of a batch are sorted by label, so that a pass scores few rows of labels that it does not ask for.
 
 What is held for a block does not grow with the vectors: a task sends at most `positives` rows for an anchor, then at most
 `negatives` rows for an anchor and positive.
@@ -23,10 +25,12 @@ GROUP = 8  # dimensions of a table
 # Bytes of the components of the anchors that are sent to the executors at once, and anchors that share tables in a task.
 BLOCK_BYTES = 8 << 20
 TABLE_ANCHORS = 256
+TABLE_BYTES = 32 << 20  # of the tables that a task keeps from one batch to the next
 # Vectors that are scored at once; the first few are less, so that the bounds of the best ones are soon near.
-STEPS = (32, 128, 512)
+STEPS = (32, 128, 256)
+# Pairs that a task may score before the vectors are dealt out anew, if the others have much less to do.
+TASK_PAIRS = 100_000_000
 NO_ID = np.iinfo(np.int64).max  # stands for a null vec_id, and sorts last
-BITS = (np.arange(1 << GROUP)[:, None] >> np.arange(GROUP)) & 1
 
 FOUND = "anchor long, positive int, found_id long, score long"
 
@@ -53,6 +57,9 @@ def integers(lists, dimensions=None):
     values = flat.astype(np.int64) if fits else np.array([int(x) for x in flat], object)
     width = -(-max(int(sizes.max(initial=0)), dimensions or 0) // GROUP) * GROUP
     out = np.zeros((len(sizes), width), values.dtype)
+    if len(sizes) and (sizes == sizes[0]).all():
+        out[:, : sizes[0]] = values.reshape(len(sizes), -1)
+        return out
     row = np.repeat(np.arange(len(sizes)), sizes)
     out[row, np.arange(len(flat)) - (offsets[:-1] - offsets[0])[row]] = values
     return out
@@ -60,7 +67,13 @@ def integers(lists, dimensions=None):
 
 def subset_tables(anchors):
     """For each group of dimensions a table (256, anchors): the sums of the components whose bits are set."""
-    return [BITS.astype(anchors.dtype) @ anchors[:, g : g + GROUP].T for g in range(0, anchors.shape[1], GROUP)]
+    tables = []
+    for g in range(0, anchors.shape[1], GROUP):
+        table = np.zeros((1 << GROUP, len(anchors)), anchors.dtype)
+        for k in range(GROUP):
+            np.add(table[: 1 << k], anchors[:, g + k], out=table[1 << k : 2 << k])
+        tables.append(table)
+    return tables
 
 
 def bit_planes(vectors):
@@ -71,17 +84,22 @@ def bit_planes(vectors):
 
 
 def scores(tables, planes, n_vectors, n_anchors, kind):
-    """Inner products (vectors, anchors)."""
+    """Inner products (vectors, anchors). The tables' integers must hold the sums of a plane."""
     total = np.zeros((n_vectors, n_anchors), kind)
+    if not tables:
+        return total
+    plane, sums = np.empty((2, n_vectors, n_anchors), tables[0].dtype)
     for b in range(len(planes) - 1, -1, -1):
-        if b < len(planes) - 1:
-            total += total
         for g, table in enumerate(tables):
-            sums = table[planes[b][:, g]]
-            if b == len(planes) - 1:
-                total -= sums  # the sign plane
-            else:
-                total += sums
+            # A byte is never beyond its table; this mode alone writes without a copy.
+            table.take(planes[b][:, g], axis=0, out=sums if g else plane, mode="clip")
+            if g:
+                plane += sums
+        if b == len(planes) - 1:
+            total -= plane  # the sign plane
+        else:
+            total += total
+            total += plane
     return total
 
 
@@ -93,20 +111,37 @@ def _kind(anchors, vectors):
     return np.int32 if largest < 2.0**31 else np.int64 if largest < 2.0**62 else object
 
 
+def _narrow(anchors, kind):
+    """The narrowest integers that hold the sums of any subset of an anchor's components."""
+    if kind is object:
+        return object
+    return np.int16 if np.abs(anchors).sum(axis=1).max(initial=0) < 2**15 else kind
+
+
 class Best:
     """The best `n` (score, id) of each of `groups` groups, higher scores first, then smaller ids."""
 
     def __init__(self, groups, n):
-        self.groups, self.n = groups, n
+        self.groups, self.n, self.steps, self.settled = groups, n, 0, 0
         self.empty = np.zeros(0, np.int64)
         self.group, self.score, self.id = self.empty, self.empty, self.empty
         self.least = np.full(groups, -(2**62), object).astype(np.int64)  # the score of the last of a full group
         self.last = np.full(groups, NO_ID)
+        self.new, self.waiting = [], 0
 
     def add(self, group, score, ids):
+        """Rows wait until there are as many as the groups hold, so that sorting costs little for each of them."""
         fits = (score > self.least[group]) | ((score == self.least[group]) & (ids <= self.last[group]))
-        group = np.concatenate([self.group, group[fits]])
-        score, ids = np.concatenate([self.score, score[fits]]), np.concatenate([self.id, ids[fits]])
+        self.new.append((group[fits], score[fits], ids[fits]))
+        self.waiting += len(self.new[-1][0])
+        if self.waiting >= self.groups * self.n:
+            self.settle()
+
+    def settle(self):
+        if not self.waiting:
+            return
+        group, score, ids = (np.concatenate(x) for x in zip((self.group, self.score, self.id), *self.new))
+        self.new, self.waiting, self.settled = [], 0, self.settled + 1
         order = np.lexsort((ids, -score, group))
         group, score, ids = group[order], score[order], ids[order]
         first = np.searchsorted(group, np.arange(self.groups))
@@ -117,62 +152,100 @@ class Best:
         self.least[full], self.last[full] = self.score[place[kept] == self.n - 1], self.id[place[kept] == self.n - 1]
 
 
-def _steps(n):
-    at, k = 0, 0
-    while at < n:
-        end = min(n, at + STEPS[min(k, len(STEPS) - 1)])
-        yield at, end
-        at, k = end, k + 1
+def _steps(best, spans):
+    """Parts of the spans, which grow with the steps that were made for these anchors."""
+    for at, to in spans:
+        while at < to:
+            end = min(to, at + STEPS[min(best.steps, len(STEPS) - 1)])
+            best.steps += 1
+            yield at, end
+            at = end
+
+
+def _as(kind, bounds):
+    """Bounds as integers of the scores' kind; no score is the least or greatest of its kind."""
+    return bounds if kind is object else np.clip(bounds, np.iinfo(kind).min, np.iinfo(kind).max).astype(kind)
 
 
 def _search(vectors, block, bands, n):
     """FOUND rows of one pass over the vectors.
 
-    block: (vec_ids, labels, matrix) of anchors. Without bands, the best n rows of an anchor's label (positive 0). bands:
-    (positives, lowest, highest) lists of an anchor's positives; the best n rows of other labels with a score in between.
+    block: (vec_ids, labels, matrix) of anchors, sorted by label. Without bands, the best n rows of an anchor's label
+    (positive 0). bands: (positives, lowest, highest) lists of an anchor's positives; the best n rows of other labels with a
+    score in between.
     """
     ids, labels, matrix = block.value
 
     def run(batches):
         spread = bands.value if bands is not None else None
         width = 1 if spread is None else spread[0].shape[1]
-        best, tables = Best(len(ids) * width, n), {}
+        starts = range(0, len(ids), TABLE_ANCHORS)
+        best, tables = {a: Best(min(TABLE_ANCHORS, len(ids) - a) * width, n) for a in starts}, {}
         for batch in batches:
             if not batch.num_rows:
                 continue
-            there = batch.column("vec_id").fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)
             kinds = batch.column("label").to_numpy(zero_copy_only=False)
+            order = np.argsort(kinds, kind="stable")
+            kinds = kinds[order]
+            there = batch.column("vec_id").fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)[order]
             all_rows = integers(batch.column("embedding"), matrix.shape[1])
             kind = _kind(matrix, all_rows)
-            for a in range(0, len(ids), TABLE_ANCHORS):
+            planes = bit_planes(all_rows[order, : matrix.shape[1]])
+            for a in starts:
                 z = min(a + TABLE_ANCHORS, len(ids))
+                begin, end = np.searchsorted(kinds, labels[a], "left"), np.searchsorted(kinds, labels[z - 1], "right")
+                if spread is None:
+                    spans = [(begin, end)]
+                else:
+                    spans = [(0, begin), (end, len(kinds))] if labels[a] == labels[z - 1] else [(0, len(kinds))]
+                if all(i == j for i, j in spans):
+                    continue
                 if (a, kind) not in tables:
-                    if len(tables) > 8:  # tables of many anchors are made anew for each batch
-                        tables.clear()
-                    tables[a, kind] = subset_tables(matrix[a:z].astype(kind))
-                for i, j in _steps(len(there)):
-                    planes = bit_planes(all_rows[i:j, : matrix.shape[1]])
-                    found = scores(tables[a, kind], planes, j - i, z - a, kind)
-                    same = kinds[i:j, None] == labels[None, a:z]
-                    fit = (same if spread is None else ~same) & (there[i:j, None] != ids[None, a:z])
-                    for p in range(width):
-                        group = np.arange(a, z) * width + p
-                        low, high = best.least[group], None
+                    own = matrix[a:z]
+                    made = subset_tables(own.astype(_narrow(own, kind)))
+                    if sum(t.nbytes for x in tables.values() for t in x) + sum(t.nbytes for t in made) > TABLE_BYTES:
+                        tables.clear()  # tables of many anchors are made anew for each batch
+                    tables[a, kind] = made
+                settled = None
+                for i, j in _steps(best[a], spans):
+                    found = scores(tables[a, kind], [x[i:j] for x in planes], j - i, z - a, kind)
+                    if settled != best[a].settled:
+                        settled, low, high = best[a].settled, best[a].least.reshape(-1, width), None
                         if spread is not None:
-                            low, high = np.maximum(low, spread[1][a:z, p]), spread[2][a:z, p]
-                        hit = fit & (found >= low[None, :])
+                            low, high = np.maximum(low, spread[1][a:z]), spread[2][a:z]
+                            low = np.where(low > high, 2**62, low)  # nothing fits
+                        least, most = _as(kind, low.min(axis=1)), None if high is None else _as(kind, high.max(axis=1))
+                    # Few rows are within any of an anchor's bounds; these are tried with each of them.
+                    hit = found >= least
+                    if most is not None:
+                        hit &= found <= most
+                    at = np.flatnonzero(hit)
+                    row, col = i + at // (z - a), at % (z - a)
+                    fit = ((kinds[row] == labels[a + col]) == (spread is None)) & (there[row] != ids[a + col])
+                    row, col, score = row[fit], col[fit], found.ravel()[at[fit]].astype(np.int64)
+                    for p in range(width if len(row) else 0):
+                        within = score >= low[col, p]
                         if high is not None:
-                            hit &= found <= high[None, :]
-                        row, col = np.nonzero(hit)
-                        if len(row):
-                            best.add(group[col], found[row, col].astype(np.int64), there[i:j][row])
-        if len(best.group):
-            columns = best.group // width, (best.group % width).astype(np.int32), best.id, best.score
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in FOUND.split(", ")])
+                            within &= score <= high[col, p]
+                        best[a].add(col[within] * width + p, score[within], there[row[within]])
+        for a in starts:
+            best[a].settle()
+            if len(best[a].group):
+                columns = a + best[a].group // width, (best[a].group % width).astype(np.int32), best[a].id, best[a].score
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in FOUND.split(", ")])
 
     return vectors.mapInArrow(run, FOUND)
 
 
+def _dealt(vectors, n_anchors):
+    """The usable vectors; dealt out evenly and kept, if they lie in so few parts that most cores would have nothing to score."""
+    parts = [r["count"] for r in vectors.groupBy(F.spark_partition_id()).count().collect()]
+    cores, most = vectors.sparkSession.sparkContext.defaultParallelism, max(parts, default=0)
+    if most * n_anchors <= TASK_PAIRS or most * cores <= 2 * sum(parts):
+        return usable(vectors)
+    return keep(usable(vectors).repartition(min(2 * cores, -(-sum(parts) * n_anchors // TASK_PAIRS))), "vectors")
+
+
 def _ranked(found, n):
     """The best n of all tasks, with their rank."""
     order = Window.partitionBy("anchor", "positive").orderBy(F.desc("score"), "found_id")
@@ -205,17 +278,19 @@ def hard_negatives(vectors: DataFrame, is_anchor, positives=5, negatives=10, low
     unless the condition says so. Scores must fit 62 bits. An empty table, or one without anchors, gives no rows. Further columns do not matter.
     """
     spark = vectors.sparkSession
-    vectors = usable(vectors)
-    anchors = vectors.where(is_anchor).distinct()
-    size, widest = anchors.agg(F.sum(8 * F.size("embedding") + 16), F.max(F.size("embedding"))).first()
+    anchors = keep(usable(vectors).where(is_anchor).distinct(), "anchors")
+    size, widest, n_anchors = anchors.agg(
+        F.sum(8 * F.size("embedding") + 16), F.max(F.size("embedding")), F.count(F.lit(1))
+    ).first()
     blocks = -(-(size or 0) // BLOCK_BYTES)
-    anchors = keep(anchors.withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(max(1, blocks)))), "anchors")
+    anchors = anchors.withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(max(1, blocks))))
+    vectors = _dealt(vectors, n_anchors)
     path = scratch_path(spark, "negatives")
     schema = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
     spark.createDataFrame([], schema).write.parquet(path)
     for b in range(blocks):
         # One block of bounded size; the blocks follow each other.
-        held = anchors.where(F.col("block") == b).orderBy("vec_id", "label", "embedding").toArrow().combine_chunks()
+        held = anchors.where(F.col("block") == b).orderBy("label", "vec_id", "embedding").toArrow().combine_chunks()
         if not held.num_rows:
             continue
         ids = held.column("vec_id").combine_chunks().fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)

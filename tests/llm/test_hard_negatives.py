@@ -59,6 +59,54 @@ def test_blocks_of_anchors(spark, rng, monkeypatch):
     assert mined(spark, rows, positives=2, negatives=3) == brute(rows, 2, 3)
 
 
+def searched(rows, bands, n):
+    """One pass in this process; every fourth row is an anchor, anchors are sorted by label."""
+    lists = pa.array([v for _, _, v in rows], pa.list_(pa.float64()))
+    ids, labels = (np.array([r[k] for r in rows]) for k in (0, 1))
+    chosen = np.flatnonzero(ids % 4 == 0)
+    chosen = chosen[np.argsort(labels[chosen], kind="stable")]
+    block = ids[chosen], labels[chosen], H.integers(lists)[chosen]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(labels), lists], ["vec_id", "label", "embedding"])
+    holder = lambda value: type("Held", (), {"value": value})
+    frame = type("Frame", (), {"mapInArrow": lambda self, run, schema: list(run(iter([batch, batch])))})()
+    return block, H._search(frame, holder(block), bands and holder(bands), n)
+
+
+def test_a_pair_is_scored_in_one_pass_only(rng, monkeypatch):
+    """Rows of an anchor's label in the first pass, the others in the second one, where anchors that share tables share a label."""
+    rows = [(i, i // 64, [rng.gauss(0, 1) for _ in range(8)]) for i in range(256)]
+    monkeypatch.setattr(H, "TABLE_ANCHORS", 16)
+    pairs, scores = [], H.scores
+    monkeypatch.setattr(H, "scores", lambda t, p, v, a, kind: pairs.append(v * a) or scores(t, p, v, a, kind))
+    block, _ = searched(rows, None, 3)
+    assert sum(pairs) == 2 * 64 * 64
+    wide = np.full((64, 1), 0), np.full((64, 1), -(2**40)), np.full((64, 1), 2**40)
+    searched(rows, wide, 3)
+    assert sum(pairs) == 2 * 64 * 256
+
+
+def test_rows_are_sorted_once_there_are_many(rng, monkeypatch):
+    best, sorts, lexsort = H.Best(50, 10), [], np.lexsort
+    monkeypatch.setattr(H.np, "lexsort", lambda keys: sorts.append(1) or lexsort(keys))
+    rows = [(rng.randrange(50), rng.randrange(1000), i) for i in range(5000)]
+    for i in range(0, 5000, 10):
+        best.add(*(np.array(x) for x in zip(*rows[i : i + 10])))
+    getattr(best, "settle", lambda: None)()
+    ranked = sorted((g, -s, i) for g, s, i in rows)
+    wanted = [r for k, r in enumerate(ranked) if k < 10 or ranked[k - 10][0] != r[0]]
+    assert list(zip(best.group, -best.score, best.id)) == wanted and len(sorts) <= 10
+
+
+def test_vectors_in_one_part_are_dealt_out(spark, rng, monkeypatch):
+    monkeypatch.setattr(H, "TASK_PAIRS", 300)
+    rows = vectors(rng, 90)
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).coalesce(1)
+    used, search = [], H._search
+    monkeypatch.setattr(H, "_search", lambda v, *more: used.append(v.rdd.getNumPartitions()) or search(v, *more))
+    got = sorted((tuple(r) for r in H.hard_negatives(df, F.col("vec_id") % 4 == 0).collect()), key=str)
+    assert got == brute(rows) and min(used) > 1
+
+
 def test_one_vector_on_many_rows(spark, rng):
     rows = [(i, i % 2, [1.0, 0.5, 0.25]) for i in range(50)] + [(i, i % 3, [0.5, 0.5, 0.5]) for i in range(50, 60)]
     assert mined(spark, rows) == brute(rows)
