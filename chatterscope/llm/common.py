@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chatterscope.session import scratch_path
+from chatterscope.session import BATCH_ROWS, bounded_batches, scratch_path  # noqa: F401
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -10,17 +10,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COPY_ROWS = 500_000
 
 
-# Rows that Spark hands to Python at once; texts may be long, and the buffers of a batch lie outside the heap.
-BATCH_ROWS = 1000
-
-
-def bounded_batches(spark: SparkSession, rows=BATCH_ROWS) -> None:
-    """Lowers the session's limit of rows per Arrow batch, if it is higher."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, rows)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,6 +2,7 @@ import json
 import os
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -302,3 +303,39 @@ def test_dedupe_bounded_holds_no_rows_back(spark, monkeypatch):
     assert next(rows)["id"].tolist() == ["0", "same"] and asked == [0]
     assert [r["id"].tolist() for r in rows] == [["1"], ["2"]] and asked == [0, 1, 2]
     assert state.held[0] == ["c\x1f2", "c\x1fsame"]
+
+
+def test_dedupe_bounded_gives_shares_keys_alone(spark, monkeypatch):
+    """Spark holds all that a share gets, so texts go around it; copies in different batches of a task are dropped before."""
+    runs, schemas = [], []
+    monkeypatch.setattr("pyspark.sql.pandas.map_ops.PandasMapOpsMixin.mapInArrow", lambda self, run, *rest: runs.append(run) or self)
+    monkeypatch.setattr(
+        "pyspark.sql.pandas.group_ops.PandasGroupedOpsMixin.applyInPandasWithState",
+        lambda self, run, schema, *rest: schemas.append(schema) or spark.createDataFrame([], "type string, id string, text string"),
+    )
+    dedupe_bounded(spark.createDataFrame([], "type string, id long, text string"), 2, shards=1)
+    assert [[f.name for f in s.fields] for s in schemas] == [["type", "id"]]
+
+    def batch(**columns):
+        return pa.RecordBatch.from_pydict(columns)
+
+    copies = [batch(type=["c", "c", None], id=["1", "1", None]), batch(type=["c", None, "s"], id=["1", None, "1"])]
+    assert [b.to_pylist() for b in runs[0](iter(copies))] == [
+        [{"type": "c", "id": "1"}, {"type": None, "id": None}], [{"type": "s", "id": "1"}]
+    ]
+    rows = batch(type=["c"] * 4, id=[1, 2, 1, 3], text=list("abcd"), _key=["k1", "k2", "k1", "k3"], _passed=[False] * 4)
+    more = batch(type=[None, None, "c"], id=[None, None, 4], text=[None, None, "e"], _key=["k1", "k3", "k4"], _passed=[True, True, False])
+    got = [r for b in runs[-1](iter([rows, more])) for r in b.to_pylist()]
+    assert got == [{"type": "c", "id": 1, "text": "a"}, {"type": "c", "id": 3, "text": "d"}]
+
+
+def test_dedupe_bounded_keys_of_other_types(spark, tmp_path):
+    rows = [(1.5, None, 7, "a"), (1.5, None, 7, "b"), (None, True, None, "c"), (None, True, None, "d"), (float("nan"), False, 3, "e"), (None, None, 2, "f")]
+    schema = "x double, y boolean, n int, text string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    unique = dedupe_bounded(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), 100, keys=("x", "y"), shards=2)
+    assert unique.schema == spark.createDataFrame([], schema).schema
+    writer = unique.writeStream.option("checkpointLocation", str(tmp_path / "check")).foreachBatch(table_sink(str(tmp_path / "out")))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).drop("batch").collect()
+    assert sorted((r["text"], r["n"]) for r in got) == [("a", 7), ("c", None), ("e", 3), ("f", 2)]
