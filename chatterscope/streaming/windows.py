@@ -36,11 +36,11 @@ def windowed_sentiment(scored, window="1 minute", delay="2 minutes"):
     )
 
 
-def table_sink(path):
-    """A sink that keeps every micro-batch in its own folder, so a repeated batch replaces itself."""
+def table_sink(path, **options):
+    """A sink that keeps every micro-batch in its own folder, so a repeated batch replaces itself. `options` are the writer's."""
 
     def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.write.mode("overwrite").options(**options).parquet(f"{path}/batch={batch_id}")
 
     return write
 

@@ -207,10 +207,11 @@ def dedupe_by_number(spark, sf):
     source, out, checkpoint = (scratch_path(spark, n) for n in ("bounded", "unique", "checkpoint"))
     posts = V.posts(spark, sf).select(*POST_SCHEMA.names)
     for _ in range(2):
-        posts.write.mode("append").parquet(source)
+        posts.write.mode("append").option("compression", "zstd").parquet(source)
         stream = spark.readStream.schema(POST_SCHEMA).parquet(source)
         unique = dedupe_bounded(stream, bound=8, shards=8)
-        writer = unique.writeStream.option("checkpointLocation", checkpoint).foreachBatch(table_sink(out))
+        sink = table_sink(out, compression="zstd")
+        writer = unique.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
         run(writer.trigger(availableNow=True).start())
     found = spark.read.parquet(out).groupBy("type", "id").agg(F.count(F.lit(1)).alias("times"))
     once, most = F.count_if(F.col("times") == 1), F.max("times")
