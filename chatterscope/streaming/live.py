@@ -7,11 +7,13 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from chatterscope.functions.text import contains_any
 from chatterscope.operators.live import (
+    for_point,
     keep_last,
     live_point,
     live_since,
     low_relevancy,
     row_epoch,
+    shortened,
     since,
     with_live_key,
 )
@@ -94,7 +96,8 @@ def start_live(
         memory = _Memory(batch.sparkSession, f"{checkpoint}/ticks", batch_id, now, track_start, expiry)
         epoch = live_since(memory.waterline, memory.track_start, now, backfill_minutes)
         rows = batch.where(~F.col("_beat")).drop("_beat") if idle else batch
-        scored = live_rows(since(rows, epoch), provider, words, rules)
+        # Once they are scored, texts are only looked at for an excerpt.
+        scored = shortened(live_rows(since(rows, epoch), provider, words, rules))
         low, at = low_relevancy(threshold), row_epoch(scored)
         counted = Observation()
         # All that the tick must know of its rows is counted while they are scored.
@@ -102,7 +105,7 @@ def start_live(
             counted, F.count(F.lit(1)).alias("rows"), F.count("relevancy").alias("rated"), F.count_if(low).alias("low"),
             F.max(at).alias("latest"), F.max(F.when(~low, at)).alias("latest_high"),
         ).persist()
-        fresh = None
+        last = fresh = None
         try:
             scored.count()
             found = counted.get
@@ -114,7 +117,9 @@ def start_live(
             if latest is not None:
                 base = waterline if waterline is not None else float(epoch)
                 waterline = max(base, float(int(min(latest, now))))
-            fresh = memory.seen.unseen(keep_last(with_live_key(raw)), now).persist()
+            # Rows are ranked once; what was seen is looked up in several jobs.
+            last = for_point(keep_last(with_live_key(raw))).persist()
+            fresh = memory.seen.unseen(last, now).persist()
             mentions = fresh.count()
             if mentions:
                 live_point(fresh, now, provider).write.mode("overwrite").parquet(f"{points_path}/tick={batch_id}")
@@ -124,9 +129,9 @@ def start_live(
             seen = memory.seen.added(fresh, now)
             memory.commit(epoch, now, waterline, found["rows"] - dropped, dropped, mentions, seen)
         finally:
-            scored.unpersist()
-            if fresh is not None:
-                fresh.unpersist()
+            for kept in (fresh, last, scored):
+                if kept is not None:
+                    kept.unpersist()
 
     writer = matching.writeStream.option("checkpointLocation", checkpoint).foreachBatch(tick)
     return writer.trigger(**({"availableNow": True} if once else {"processingTime": trigger})).start()

@@ -125,3 +125,20 @@ def test_only_texts_that_become_the_best_are_cleaned(spark, monkeypatch):
     rows = [(1, "high", "p", 0.1, 2.0), (2, "low", "p", 0.1, 1.0)]
     df = spark.createDataFrame(rows, "id long, text string, permalink string, compound double, score double").coalesce(1)
     assert live.live_points(df, F.timestamp_seconds(F.col("score") * 0)).first().top_text == "high"
+
+
+def test_points_of_shortened_texts_equal_points_of_texts(spark, posts):
+    """Null and blank texts, texts that are cut at or after blanks, long blank ones, no score, no link, a key that comes twice, a null key."""
+    ends = ["x" * 399 + " y" * 99, "x" * 399 + " " * 99 + "y", " \n" * 99 + "x" * 999, "\u2003" * 500 + "y" * 500, " " * 900, "é" * 999]
+    texts = [None, "", " \n ", "\n a\nb ", "z", *ends, "x" * 390 + " " * 500]
+    rows = posts(*[_row(str(i), T0, text, score=None if i == 2 else i % 4, url="" if i % 2 else f"/u{i}") for i, text in enumerate(texts)])
+    rows = live.with_live_key(rows.unionByName(rows)).withColumn("compound", F.col("score") / 10)
+    rows = rows.withColumn("live_key", F.when(F.col("id") != "1", F.col("live_key")))
+    short = {r["id"]: r["text"] for r in live.shortened(rows).collect()}
+    assert [len(short[str(i)] or "") for i in range(5, 12)] == [464, 499, 1197, 1000, 900, 464, 890] and short["0"] is None
+    for df in (rows, rows.drop("score"), rows.drop("permalink", "url"), rows.drop("compound"), rows.where("false")):
+        for tick in (F.lit(1), F.col("id")):
+            want = live.live_points(df, tick).collect()
+            assert sorted(map(str, live.live_points(live.shortened(df), tick).collect())) == sorted(map(str, want))
+        narrow = live.for_point(live.shortened(df))
+        assert "author" not in narrow.columns and live.live_points(narrow, F.lit(1)).collect() == live.live_points(df, F.lit(1)).collect()

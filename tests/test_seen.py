@@ -65,3 +65,13 @@ def test_ticks_with_stored_keys(spark, posts):
         seen = tick.seen
         tick.scored.unpersist()
     assert mentions == [[2], [1], []]
+
+
+def test_hits_are_not_measured_again(spark, monkeypatch):
+    """Keys that were seen are some of the keys that are asked for, which are measured; a key may stand in several levels."""
+    seen, measured = SeenKeys(spark), []
+    for t, names in enumerate((["a", "b", "c", "d"], ["a"])):
+        seen = seen.added(_keys(spark, names), t)
+    monkeypatch.setattr("chatterscope.operators.seen.is_small", lambda df: measured.append(df) or True)
+    left = seen.unseen(_keys(spark, ["a", "x", "x", None]))
+    assert sorted(r[0] or "" for r in left.collect()) == ["", "x", "x"] and len(seen.levels) == 2 and len(measured) == 1

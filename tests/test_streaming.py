@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from chatterscope.operators.live import last_points
 from chatterscope.operators.scoring import score_by_words
+from chatterscope.operators.seen import SeenKeys
 from chatterscope.schema import COMMENT_SCHEMA, POST_SCHEMA, SUBMISSION_SCHEMA
 from chatterscope.sinks.files import start_ndjson_sink
 from chatterscope.sources.posts import read_posts, read_posts_stream
@@ -186,6 +187,24 @@ def test_since_moves_with_every_tick(spark, feed):
     ]
 
 
+def test_rows_of_a_tick_are_ranked_once_with_short_texts(spark, feed, monkeypatch):
+    """Looking up what was seen takes several jobs, so it gets kept rows; a text that is cut at a blank, a null one and none."""
+    asked, lookup = [], SeenKeys.unseen
+
+    def unseen(seen, df, now=None):
+        asked.append((df.storageLevel.useMemory, "author" in df.columns, df.agg(F.max(F.length("text"))).first()[0]))
+        return lookup(seen, df, now)
+
+    monkeypatch.setattr(SeenKeys, "unseen", unseen)
+    long = "nike" + "x" * 395 + " y" * 99
+    for i, rows in enumerate(([_post("a", T0, "nike"), _post("a", T0, "nike")], [_post("a", T0, "nike"), _post("b", T0, long), _post("c", T0, None)], [])):
+        feed.put(*rows, _post(f"none {i}", T0))
+        _view(feed, T0 + i)
+    assert asked == [(True, False, 4), (True, False, 464), (True, False, None)]
+    points = last_points(read_points(spark, feed.dir("points"))).collect()
+    assert [(r["mentions"], r["top_text"]) for r in points] == [(1, long[:400]), (1, "nike")]
+
+
 def test_keys_are_forgotten_after_the_delay(spark, feed):
     for at in (T0, T0 + 50, T0 + 61, T0 + 400):
         feed.put(_post("a", at, "nike"))
